@@ -7,10 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, packing, simhash
+from . import bpe, exact_dedup, packing, simhash, warc
+from .storage import ship_code
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -30,11 +32,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=2048, end_id=1)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
+    "op9_warc": op9_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -43,4 +50,14 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, text_sha256
         FROM hashed WINDOW same AS (PARTITION BY text_sha256)""",
+    "op9_warc": """
+        WITH payloads AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+        ), kept AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS keeper FROM payloads
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
+        FROM kept""",
 }

@@ -10,6 +10,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,3 +74,23 @@ def with_row_key(docs: DataFrame, label: str) -> tuple[DataFrame, str, str]:
     key = spare(docs.columns, "row_key")
     table, path = stash(docs.withColumn(key, F.monotonically_increasing_id()), label)
     return table, key, path
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package, once per application; the driver may run where it
+    is on the path and they may not."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    package = Path(__file__).resolve().parent.parent
+    folder = tempfile.mkdtemp(prefix="geoloom-code-")  # of the driver, which serves it to the executors
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/{package.name}_code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
