@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, packing, simhash, warc
+from . import bpe, exact_dedup, language, packing, simhash, warc
 from .storage import ship_code
 
 
@@ -36,12 +36,23 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_documents(_table(spark, sf_dir, "documents"))
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator where markup and addresses are at hand; fitted on documents."""
+    return language.identify_pages(_table(spark, sf_dir, "pages"), language.fit(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
     "op9_warc": op9_warc,
+    "op10_language_id": op10_language_id,
+    "language_id_pages": language_id_pages,
 }
 
 ORACLE_SQL: dict[str, str] = {
