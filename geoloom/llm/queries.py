@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language, packing, simhash, warc
+from . import bpe, exact_dedup, language, packing, simhash, toxicity, warc
 from .storage import ship_code
 
 
@@ -32,6 +32,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=2048, end_id=1)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
+    "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
     "language_id_pages": language_id_pages,
