@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language, packing, simhash, toxicity, warc
+from . import bpe, exact_dedup, language, packing, pii, simhash, toxicity, warc
 from .storage import ship_code
 
 
@@ -15,6 +15,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+#: The key of surrogates in these queries; a deployment has its own.
+PII_KEY = "an example key"
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(_table(spark, sf_dir, "documents"), PII_KEY, count_col="n_entities").select("doc_id", "text", "n_entities")
+
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, max_distance=2)
@@ -50,6 +57,7 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_bpe": op6_bpe,
