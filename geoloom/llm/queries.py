@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, packing, pii, simhash, toxicity, warc
+from . import bpe, embedding_dups, exact_dedup, language, packing, pii, simhash, token_counts, toxicity, warc
 from .storage import ship_code
 
 
@@ -27,10 +28,22 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, max_distance=2)
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document before and after three edits that its length places."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    trees = token_counts.build(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    edited = trees.withColumn("edits", token_counts.trial_edits(F.col("text")))
+    return token_counts.recount(edited, path).select("doc_id", "n_tokens", "n_tokens_after", "reencoded_chars", "text_chars")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.verdicts(_table(spark, sf_dir, "documents"), exact_dedup.one_off_index(spark))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dups.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -59,7 +72,9 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
