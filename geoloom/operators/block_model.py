@@ -1,0 +1,20 @@
+"""The columns of binary blocks as DataFrames: groups, differences, string numbers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def delta_columns(rows: DataFrame, group: str, order: list[str], columns: list[str]) -> DataFrame:
+    """Add ``<column>_delta``: the difference to the row before in the group, from 0."""
+    w = Window.partitionBy(group).orderBy(*order)
+    return rows.select("*", *[(F.col(c) - F.coalesce(F.lag(c).over(w), F.lit(0))).alias(f"{c}_delta") for c in columns])
+
+
+def string_dictionary(rows: DataFrame, block: str, order: list[str], string: str) -> DataFrame:
+    """``block, string, string_id``: numbers from 1 in the order of first appearance. Rows are
+    reduced to one per string and block before any are ranked."""
+    first = rows.groupBy(block, string).agg(F.min(F.struct(*order)).alias("first"))
+    w = Window.partitionBy(block).orderBy("first")
+    return first.select(F.col(block).alias("block"), F.col(string).alias("string"), F.row_number().over(w).cast("long").alias("string_id"))
