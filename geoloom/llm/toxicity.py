@@ -189,6 +189,17 @@ def _features_of(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, toxic int, features array<string>, counts array<int>")
 
 
+def _known_only(found: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
+    """Features as numbers of the vocabulary, without others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [[(vocabulary[f], n) for f, n in zip(fs, ns, strict=True) if f in vocabulary] for fs, ns in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([[i for i, _ in x] for x in kept], pa.list_(pa.int64())), pa.array([[n for _, n in x] for x in kept], pa.list_(pa.int64()))], ["doc_id", "toxic", "ids", "counts"])
+
+    return found.mapInArrow(run, "doc_id long, toxic int, ids array<bigint>, counts array<bigint>")
+
+
 def _slim(docs: DataFrame) -> DataFrame:
     return docs.select(quoted("doc_id").cast("long").alias("doc_id"), quoted("text").cast("binary").alias("text"))
 
@@ -219,13 +230,10 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple[d
     share = a * weight[1] / (a * weight[1] + b * weight[0])
     picked = counted.filter((a + b >= LEAST_DOCS) & (share >= LEAST_SHARE)).select("f", chi2.alias("chi2")).filter(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "f").limit(VOCABULARY)
     vocabulary = {f: i for i, f in enumerate(sorted(r.f for r in picked.collect()))}
-    names = F.array(*map(F.lit, vocabulary)) if vocabulary else F.array().cast("array<string>")
-    pairs = F.filter(F.arrays_zip("features", "counts"), lambda x: F.array_contains(names, x["features"]))
     out = []
-    for r in found.select("doc_id", "toxic", pairs.alias("pairs")).orderBy("doc_id").collect():
-        ids = np.array([vocabulary[p.features] for p in r.pairs], np.int64)
-        order = np.argsort(ids)
-        out.append(Example(r.doc_id, r.toxic, ids[order], np.array([p.counts for p in r.pairs], np.int64)[order], weight[r.toxic]))
+    for r in _known_only(found, vocabulary).orderBy("doc_id").collect():  # twice ``examples`` rows at most
+        order = np.argsort(r.ids)
+        out.append(Example(r.doc_id, r.toxic, np.array(r.ids, np.int64)[order], np.array(r.counts, np.int64)[order], weight[r.toxic]))
     discard(spark, learnt_path, found_path)
     return vocabulary, out
 
