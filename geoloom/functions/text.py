@@ -37,8 +37,8 @@ def iso_time(ts: Column) -> Column:
 
 
 def degrees(coordinate: Column) -> Column:
-    """A fixed-point coordinate in degrees with seven decimals."""
-    return F.format_string("%.7f", coordinate / F.lit(float(SCALE)))
+    """A fixed-point coordinate in degrees with seven decimals; null stays null."""
+    return F.when(coordinate.isNotNull(), F.format_string("%.7f", coordinate / F.lit(float(SCALE))))
 
 
 def epoch_seconds(ts: Column) -> Column:
@@ -56,7 +56,7 @@ def member_type_code(kind: Column) -> Column:
 
 def until_nul(text: Column) -> Column:
     """What precedes the first NUL character."""
-    return F.substring_index(text, F.char(F.lit(0)), 1)
+    return F.call_function("substring_index", text, F.char(F.lit(0)), F.lit(1))
 
 
 def checked_time(ts: Column) -> Column:

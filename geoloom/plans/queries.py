@@ -113,7 +113,7 @@ def bbox_all_or_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     side = lambda k, f: F.when(key % k != 0, (key * f).cast("int"))
     boxes = _table(spark, sf_dir, "orders").select(key.alias("id"), side(5, 11).alias("min_lat"), side(7, -13).alias("min_lon"), side(11, 17).alias("max_lat"), side(13, 19).alias("max_lon"))
-    return C.whole_box(boxes).select("id", *[F.when(F.col(c).isNotNull(), X.degrees(F.col(c))).alias(c) for c in C.BOX])
+    return C.whole_box(boxes).select("id", *[X.degrees(F.col(c)).alias(c) for c in C.BOX])
 
 
 def xml_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
