@@ -1 +1 @@
-"""Part of the extract engine."""
+"""Element versions as streams."""
