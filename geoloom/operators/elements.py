@@ -17,6 +17,12 @@ def eligible(elements: DataFrame) -> DataFrame:
     return kept.filter("id >= 0")
 
 
+def with_newest(elements: DataFrame) -> DataFrame:
+    """Add ``newest``: whether the version is the newest of its id."""
+    w = Window.partitionBy("id")
+    return elements.withColumn("newest", F.col("version") == F.max("version").over(w))
+
+
 def newest(elements: DataFrame) -> DataFrame:
     """The newest version of each id. Ranks are limited before the exchange."""
     w = Window.partitionBy("id").orderBy(F.col("version").desc())
@@ -78,20 +84,34 @@ def public_users(users: DataFrame) -> DataFrame:
     return users.filter("data_public").select(F.col("id").alias("uid"), F.col("display_name").alias("user"))
 
 
-def with_contributor(elements: DataFrame, changesets: DataFrame, users: DataFrame, full: bool, must_exist: bool = False) -> DataFrame:
-    """Add ``user, uid`` of the changeset's owner: null if not ``full``, if the owner is not
-    public or if there is no such changeset. With ``must_exist`` the last is an error.
+def with_owner(elements: DataFrame, changesets: DataFrame, users: DataFrame) -> DataFrame:
+    """Add ``user, uid`` of the changeset's owner, null unless public, and ``owned``, null if
+    there is no such changeset.
 
     Owners are looked up on the changesets first; the planner broadcasts either side only
     where its size allows."""
+    owners = changesets.select(F.col("id").alias("changeset_id"), F.col("uid").cast("long").alias("uid")).join(public_users(users), "uid", "left").select("changeset_id", F.when(F.col("user").isNotNull(), F.col("uid")).alias("uid"), "user", F.lit(True).alias("owned"))
+    return elements.join(owners, "changeset_id", "left")
+
+
+def shown_owner(owned: DataFrame, full: bool, must_exist: bool = False) -> DataFrame:
+    """Hide the owner unless ``full``. With ``must_exist`` a shown owner whose changeset does
+    not exist is an error."""
+    user, uid = F.col("user"), F.col("uid")
     if not full:
-        return elements.withColumn("user", F.lit(None).cast("string")).withColumn("uid", F.lit(None).cast("long"))
-    owners = changesets.select(F.col("id").alias("changeset_id"), F.col("uid").cast("long").alias("uid")).join(public_users(users), "uid", "left").select("changeset_id", F.when(F.col("user").isNotNull(), F.col("uid")).alias("uid"), "user", F.lit(True).alias("_found"))
-    joined = elements.join(owners, "changeset_id", "left")
-    if must_exist:
+        user, uid = F.lit(None).cast("string"), F.lit(None).cast("long")
+    elif must_exist:
         message = F.concat(F.lit("no changeset "), F.col("changeset_id").cast("string"))
-        joined = joined.withColumn("user", F.when(F.col("_found").isNull(), F.raise_error(message).cast("string")).otherwise(F.col("user")))
-    return joined.drop("_found")
+        user = F.when(F.col("owned").isNull(), F.raise_error(message).cast("string")).otherwise(user)
+    return owned.withColumns({"user": user, "uid": uid}).drop("owned")
+
+
+def with_contributor(elements: DataFrame, changesets: DataFrame, users: DataFrame, full: bool, must_exist: bool = False) -> DataFrame:
+    """Add ``user, uid`` of the changeset's owner: null if not ``full``, if the owner is not
+    public or if there is no such changeset, which ``must_exist`` makes an error."""
+    if not full:
+        return elements.withColumn("user", F.lit(None).cast("string")).withColumn("uid", F.lit(None).cast("long"))
+    return shown_owner(with_owner(elements, changesets, users), full, must_exist)
 
 
 def missing_changesets(elements: DataFrame, changesets: DataFrame) -> DataFrame:

@@ -65,17 +65,30 @@ class Options:
         self.meta = literals | self.meta
 
 
-def elements(tables: dict[str, DataFrame], kind: str, product: Product) -> DataFrame:
-    """Nodes, ways or relations of a product, with children and contributors."""
+def nested(tables: dict[str, DataFrame], kind: str, history: bool = True) -> DataFrame:
+    """Nodes, ways or relations with children and owners, and ``newest``; all that any
+    product of them shows. Without ``history`` only current versions are carried along."""
     family = FAMILIES[kind]
-    rows = tables[family.parent]
-    rows = E.history(rows) if product.history else E.current(rows)
+    rows = E.eligible(tables[family.parent])
+    rows = E.with_newest(rows) if history else E.newest(rows).filter("visible").withColumn("newest", F.lit(True))
     rows = E.with_tags(rows, tables[family.tags], ["id", "version"])
     if kind == "way":
         rows = E.with_way_nodes(rows, tables[family.children])
     elif kind == "relation":
         rows = E.with_members(rows, tables[family.children])
-    return E.with_contributor(rows, E.eligible(tables["changesets"]), tables["users"], product.full, must_exist=product.form == "blocks")
+    return E.with_owner(rows, E.eligible(tables["changesets"]), tables["users"])
+
+
+def of_product(rows: DataFrame, product: Product) -> DataFrame:
+    """What a product shows of ``nested`` rows."""
+    if not product.history:
+        rows = rows.filter("newest and visible")
+    return E.shown_owner(rows, product.full, must_exist=product.form == "blocks").drop("newest")
+
+
+def elements(tables: dict[str, DataFrame], kind: str, product: Product) -> DataFrame:
+    """Nodes, ways or relations of one product."""
+    return of_product(nested(tables, kind, product.history), product)
 
 
 def sessions(tables: dict[str, DataFrame], product: Product, max_time) -> DataFrame:
@@ -89,26 +102,34 @@ def sessions(tables: dict[str, DataFrame], product: Product, max_time) -> DataFr
     return C.with_owner(E.with_tags(rows, tables["changeset_tags"], ["id"]), tables["users"], product.full)
 
 
-def document(spark: SparkSession, tables: dict[str, DataFrame], product: Product, max_time, generator: str, meta: dict[str, str]) -> DataFrame:
+def document(spark: SparkSession, tables: dict[str, DataFrame], joined: dict[str, DataFrame], product: Product, max_time, generator: str, meta: dict[str, str]) -> DataFrame:
     """The rows of an XML product. Elements come with their sessions, as the format has it."""
     kinds = {"changeset": sessions(tables, product, max_time)}
     render = {"changeset": xml.changeset(product.discussions, product.full)}
     if not product.sessions_only:
         for kind, make in (("node", xml.node), ("way", xml.way), ("relation", xml.relation)):
-            kinds[kind], render[kind] = elements(tables, kind, product), make(product.history)
+            kinds[kind], render[kind] = of_product(joined[kind], product), make(product.history)
     return xml.document(spark, kinds, render, F.lit(max_time).cast("timestamp_ntz"), generator, meta)
 
 
 def build(spark: SparkSession, options: Options) -> None:
-    """Stage the dump and write every product that is asked for."""
-    # elements, tags and children all meet on id: partitioning by it alone serves every join
+    """Stage the dump and write every product that is asked for. Elements are joined with
+    their children once and stored; all products read that."""
     staging.stage(spark, options.dump, options.staging, options.resume, options.compat)
     tables, max_time = staging.staged(spark, options.staging), staging.staged_time(spark, options.staging)
-    for name, out in options.outputs.items():
-        product = PRODUCTS[name]
+    wanted = {name: PRODUCTS[name] for name in options.outputs}
+    joined = {}
+    if any(not p.sessions_only for p in wanted.values()):
+        history = any(p.history for p in wanted.values())
+        for kind in ("node", "way", "relation"):
+            path = f"{options.staging}/joined_{kind}"
+            nested(tables, kind, history).write.mode("overwrite").parquet(path)
+            joined[kind] = spark.read.parquet(path)
+    for name, product in wanted.items():
+        out = options.outputs[name]
         if product.form == "xml":
-            xml.write(document(spark, tables, product, max_time, options.generator, options.meta), out, options.compression)
+            xml.write(document(spark, tables, joined, product, max_time, options.generator, options.meta), out, options.compression)
             continue
         seconds = None if max_time is None else int((max_time - type(max_time)(1970, 1, 1)).total_seconds())
         head = blocks.header_block(seconds, options.generator, options.meta["source"], product.history, options.dense_nodes)
-        blocks.write([blocks.encode(kind, elements(tables, kind, product), product.history, product.full, options.dense_nodes) for kind in ("node", "way", "relation")], head, out)
+        blocks.write([blocks.encode(kind, of_product(joined[kind], product), product.history, product.full, options.dense_nodes) for kind in joined], head, out)

@@ -93,6 +93,9 @@ def header_block(max_seconds: int | None, generator: str, source: str, history:
     return framed(fixed.HEADER_TYPE, out + (number(32, max_seconds) if max_seconds is not None else b""))
 
 
+#: Estimated bytes of a relation, and of one of its tags or members.
+RELATION_BYTES, ITEM_BYTES = 29, 4
+
 # --- blocks -----------------------------------------------------------------------------
 
 
@@ -123,15 +126,18 @@ class BlockEncoder:
 
     def __init__(self, kind: str, history: bool, full: bool, dense: bool):
         self.kind, self.history, self.full, self.dense = kind, history, full, dense
-        self.strings, self.groups, self.rows, self.bytes = StringTable(), [], [], 0
+        self.strings, self.groups, self.rows, self.bytes, self.waiting = StringTable(), [], [], 0, 0
 
     def add(self, row: dict) -> bytes | None:
         """Take a row; a block if one is complete."""
         self.rows.append(row)
-        if len(self.rows) < fixed.GROUP_SIZE[self.kind]:
+        limit = fixed.MAX_BLOCK // fixed.BLOCK_SHARE
+        if self.kind == "relation":  # whose size varies most: it is estimated before a group is full
+            self.waiting += RELATION_BYTES + ITEM_BYTES * (len(row["tags"]) + len(row["members"]))
+        if len(self.rows) < fixed.GROUP_SIZE[self.kind] and self.bytes + self.waiting + self.strings.size <= limit:
             return None
         self._close_group()
-        return self.finish() if self.bytes + self.strings.size >= fixed.MAX_BLOCK // fixed.BLOCK_SHARE else None
+        return self.finish() if self.bytes + self.strings.size >= limit else None
 
     def finish(self) -> bytes | None:
         self._close_group()
@@ -146,7 +152,7 @@ class BlockEncoder:
             group = self._dense(self.rows) if self.kind == "node" and self.dense else b"".join(getattr(self, f"_{self.kind}")(r) for r in self.rows)
             self.groups.append(group)
             self.bytes += len(group)
-            self.rows = []
+            self.rows, self.waiting = [], 0
 
     def _info(self, r: dict) -> bytes:
         out = number(1, r["version"]) + number(2, r["seconds"]) + number(3, r["changeset_id"])

@@ -260,6 +260,25 @@ def test_options():
     assert products.Options("d", "s", {"xml": "x"}, meta={"author": "me"}).meta["author"] == "me"
 
 
+def test_command_line(tmp_path):
+    from geoloom.__main__ import parse
+
+    (tmp_path / "meta").write_text("# literals\nmeta-author = someone\nmeta-source = a place = here\n")
+    got = parse(["--dump-file", "d", "--history-blocks-no-userinfo", "h", "--xml", "x", "--dense-nodes", "false", "--meta-file", str(tmp_path / "meta"), "--meta-source", "there"])
+    assert got.outputs == {"xml": "x", "history-blocks-no-userinfo": "h"} and not got.dense_nodes
+    assert (got.meta["author"], got.meta["source"]) == ("someone", "there")
+    for bad in (["--dump-file", "d"], ["--xml", "x"]):
+        with pytest.raises(SystemExit):
+            parse(bad)
+
+
+def test_large_relations_close_a_block():
+    encoder = blocks.BlockEncoder("relation", False, False, True)
+    row = {"id": 1, "version": 1, "seconds": 0, "changeset_id": 1, "visible": True, "user": None, "uid": None, "tags": [], "members": [{"member_id": i, "member_role": "", "code": 0} for i in range(30_000)]}
+    made = sum(encoder.add(row | {"id": i}) is not None for i in range(150))
+    assert made >= 2
+
+
 def test_packed_varints():
     values = [0, 1, 127, 128, 300, 1 << 40, -1, -(1 << 40)]
     raw = blocks.packed(3, values, signed=True)
