@@ -319,14 +319,11 @@ class _Spelled:
             listed, stops = ids.tolist(), ends.tolist()
             digits = list(map(numbers.__getitem__, listed))
             words = list(map(tokens.__getitem__, listed))
-            return [(" ".join(digits[s:e]), " ".join(words[s:e])) if e > s else _NOTHING for s, e in zip([0, *stops[:-1]], stops, strict=True)]
+            return [(" ".join(digits[s:e]), " ".join(words[s:e])) for s, e in zip([0, *stops[:-1]], stops, strict=True)]
 
         self.cache = cache(path, spell)
 
 
-_NOTHING = ("", "")
-
-
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and decode every row, and return doc_id, n_tokens, ids_sha256 (of the decimal
     ids joined by spaces) and decoded_sha256, without shipping the ids themselves."""
@@ -337,8 +334,8 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             known.learn(texts)
             counts, ids_sha, text_sha = [], [], []
             for text in texts:
-                spelled = [x for x in known.of(text) if x is not _NOTHING]
-                ids, words = map(" ".join, zip(*spelled, strict=True)) if spelled else _NOTHING
+                spelled = [x for x in known.of(text) if x[0]]
+                ids, words = map(" ".join, zip(*spelled, strict=True)) if spelled else ("", "")
                 counts.append(ids.count(" ") + 1 if ids else 0)
                 ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
                 text_sha.append(hashlib.sha256(words.encode()).hexdigest())
