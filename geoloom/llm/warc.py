@@ -195,7 +195,7 @@ def write(pages: DataFrame, folder: str, dictionary: bytes | None, date: str = "
             for page, url, payload, keeper in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if out is None:
                     name, records, size = f"{base}/{uuid.uuid4().hex}.warc.zst", 0, 0
-                    out = fs.open_output_stream(name)
+                    out = fs.open_output_stream(name, compression=None)
                     if dictionary:
                         size += out.write(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
                 size += out.write(packer.compress(record(page, url, payload, keeper, keeper is not None, date)))
@@ -228,7 +228,7 @@ def read(manifest: DataFrame, folder: str, with_payload: bool = False) -> DataFr
         for batch in batches:
             for path, records in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows, size, count = [], 0, 0
-                with fs.open_input_stream(path) as stream:
+                with fs.open_input_stream(path, compression=None) as stream:
                     for raw in frames(stream, path):
                         rows.append(parse(raw, f"{path}, record {count}"))
                         count, size = count + 1, size + len(raw)
