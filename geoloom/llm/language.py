@@ -55,9 +55,10 @@ def trigrams(text: bytes) -> np.ndarray:
     return ((code * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
 
 
-def fit(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES, rows: int = FIT_ROWS, lang_col: str = "lang", text_col: str = "text") -> np.ndarray:
-    """Log-probabilities by language (and last "und") and bucket, from at most ``rows``
-    labelled rows of each language. Only counts by bucket reach the driver."""
+def fit(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES, rows: int = FIT_ROWS, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> np.ndarray:
+    """Log-probabilities by language (and last "und") and bucket, from the labelled rows of
+    at most ``rows`` ids of each language, drawn by a digest of the id. Ids are drawn before
+    any text is read; only counts by bucket reach the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -69,8 +70,11 @@ def fit(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES, rows: int =
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["lang", "bucket", "n"])
 
-    slim = labelled.select(quoted(lang_col).alias("lang"), quoted(text_col).cast("binary").alias("text"))
-    sample = reduce(DataFrame.unionByName, (slim.filter(F.col("lang") == code).limit(rows) for code in languages))
+    told = labelled.select(quoted(id_col).alias("id"), quoted(lang_col).alias("lang"))
+    drawn = reduce(DataFrame.unionByName, (told.filter((F.col("lang") == code) & F.col("id").isNotNull()).orderBy(F.xxhash64("id"), "id").limit(rows) for code in languages))
+    # at most ``rows`` ids of each language, which bounds this broadcast
+    slim = labelled.select(quoted(id_col).alias("id"), quoted(lang_col).alias("lang"), quoted(text_col).cast("binary").alias("text"))
+    sample = slim.join(F.broadcast(drawn.distinct()), ["id", "lang"]).select("lang", "text")
     counts = np.zeros((len(languages) + 1, BUCKETS))
     for r in sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[languages.index(r.lang), r.bucket] = r.n
