@@ -38,6 +38,8 @@ LANGUAGES = ("de", "en", "es", "fr")
 FIT_ROWS = 1500
 #: Trigrams that a text counts as at most; prior rows that smooth each level of the hosts.
 TEXT_EVIDENCE, HOST_SMOOTHING, VALUE_SMOOTHING = 60.0, 5.0, 2.0
+#: The share of noise that every language is mixed with.
+NOISE = 0.15
 #: Least posterior of an accepted language.
 LEAST_POSTERIOR = 0.5
 BUCKETS = 1 << 16
@@ -82,6 +84,9 @@ def fit(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES, rows: int =
     used = max(1, int((counts.sum(axis=0) > 0).sum()))
     smooth = 0.5 / BUCKETS * used
     logp = np.log(counts + smooth / used) - np.log(counts.sum(axis=1, keepdims=True) + smooth / used * BUCKETS)
+    # some of any text is noise (numbers' units, addresses, names): a few rare trigrams must
+    # not make a language less likely than noise alone
+    logp = np.log((1 - NOISE) * np.exp(logp) + NOISE / BUCKETS)
     logp[-1] = -math.log(BUCKETS)
     if not counts.any():
         logp[:] = -math.log(BUCKETS)
