@@ -49,15 +49,15 @@ def segments(text: str) -> list[str]:
 
 
 class SegmentTree:
-    """Sums of characters and tokens over the segments of a text."""
+    """Sums of characters and tokens over the segments of a text. Edits leave the segments
+    that they touch unsettled; their tokens are counted once, when the edits are done."""
 
-    def __init__(self, leaves: list[str], tokens: list[int], count: Callable[[str], int]):
-        self.count = count
+    def __init__(self, leaves: list[str], tokens: list[int]):
         self.reencoded = 0
-        self._fill(leaves, tokens)
+        self._fill(leaves, tokens, [False] * len(leaves))
 
-    def _fill(self, leaves: list[str], tokens: list[int]) -> None:
-        self.leaves = leaves
+    def _fill(self, leaves: list[str], tokens: list[int], unsettled: list[bool]) -> None:
+        self.leaves, self.unsettled = leaves, unsettled
         self.base = 1 << max(0, len(leaves) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.base), [0] * (2 * self.base)
         self.chars[self.base : self.base + len(leaves)] = map(len, leaves)
@@ -69,6 +69,14 @@ class SegmentTree:
         self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
         self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
 
+    def _update(self, leaves: list[int]) -> None:
+        """The sums above the leaves."""
+        above = {(self.base + i) // 2 for i in leaves} - {0}
+        while above:
+            for i in above:
+                self._sum(i)
+            above = {i // 2 for i in above} - {0}
+
     @property
     def text(self) -> str:
         return "".join(self.leaves)
@@ -93,22 +101,29 @@ class SegmentTree:
         while region and region[-1] not in " \n" and last + 1 < len(self.leaves):
             last += 1
             region += self.leaves[last]
-        self.reencoded += len(region)
         if len(parts := segments(region)) > GROWN:
             kept = self.tokens[self.base : self.base + len(self.leaves)]
-            self._fill(self.leaves[:first] + parts + self.leaves[last + 1 :], kept[:first] + list(map(self.count, parts)) + kept[last + 1 :])
+            self._fill(self.leaves[:first] + parts + self.leaves[last + 1 :], kept[:first] + [0] * len(parts) + kept[last + 1 :], self.unsettled[:first] + [True] * len(parts) + self.unsettled[last + 1 :])
             return
-        touched = set()
         for i in range(first, last + 1):
             self.leaves[i] = region if i == first else ""
             self.chars[self.base + i] = len(self.leaves[i])
-            self.tokens[self.base + i] = self.count(region) if i == first else 0
-            touched.add((self.base + i) // 2)
-        while touched - {0}:
-            for i in touched:
-                if i:
-                    self._sum(i)
-            touched = {i // 2 for i in touched if i}
+            self.tokens[self.base + i] = 0
+            self.unsettled[i] = i == first
+        self._update(range(first, last + 1))
+
+    def regions(self) -> list[str]:
+        """The texts that are to be encoded."""
+        return [leaf for leaf, waits in zip(self.leaves, self.unsettled, strict=True) if waits]
+
+    def settle(self, count: Callable[[str], int]) -> None:
+        """Count the tokens of what edits have touched."""
+        found = [i for i, waits in enumerate(self.unsettled) if waits]
+        for i in found:
+            self.tokens[self.base + i] = count(self.leaves[i])
+            self.reencoded += len(self.leaves[i])
+            self.unsettled[i] = False
+        self._update(found)
 
     def lists(self) -> tuple[list[int], list[int]]:
         """The characters and tokens of the leaves that are not empty."""
@@ -145,23 +160,24 @@ def recount(trees: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     names = ["doc_id", "n_tokens", "n_tokens_after", "reencoded_chars", "text_chars", "leaf_chars", "leaf_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = bpe.cache(path, bpe.id_counts)
-
-        def count(text: str) -> int:
-            known.learn([text])
-            return sum(known.of(text))
-
+        known, count = _counter(path)
         for part, texts in bpe.text_blocks(batches, 1):
-            rows = []
+            edited = []
             for doc, text, chars, tokens, edits in zip(part.column(0).to_pylist(), texts, *(part.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
                 leaves, at = [], 0
                 for n in chars:
                     leaves.append(text[at : at + n])
                     at += n
-                tree = SegmentTree(leaves or [""], tokens or [0], count)
+                tree = SegmentTree(leaves or [""], tokens or [0])
                 before = tree.tokens[1]
                 for edit in edits or ():
                     tree.edit(edit["start"] or 0, edit["stop"] or 0, edit["text"] or "")
+                edited.append((doc, before, tree))
+            # the touched regions of a whole block are encoded together
+            known.learn(region for _, _, tree in edited for region in tree.regions())
+            rows = []
+            for doc, before, tree in edited:
+                tree.settle(count)
                 rows.append((doc, before, tree.tokens[1], tree.reencoded, tree.chars[1], *tree.lists()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [*[pa.int64()] * 5, *[pa.list_(pa.int32())] * 2], strict=True)], names)
 
