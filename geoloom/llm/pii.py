@@ -16,8 +16,10 @@ by all but one. Surrogates are put into each occurrence's own form.
 | access_key, secret | same text | same prefix, same alphabet and case |
 | given, surname | ignoring case, by word | a name of the same gender and script, in the same case |
 
-Names are words after a form of address, which tells the gender. A given name and a
-surname are entities of their own, so that "Frau Anna Weber" and "Herr Weber" share one.
+Names are all capitalised words after a form of address, which tells the gender; the last
+is the surname. Given names and the surname are entities of their own, so that "Frau Anna
+Maria Weber" and "Herr Weber" share one. Secrets have no largest length; a labelled one may
+have dots inside (a dot at its end is the sentence's).
 
 Texts without entities are never exchanged. Those with some are exchanged once, with the
 list of their replacements. Entities are reduced to distinct ones by map-side combined
@@ -58,13 +60,13 @@ _NAME = r"\p{Lu}[\p{L}\p{M}'’-]+"
 PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9][\w.+%-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}",
     "access_key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
-    "secret": r"(?<=(?i:password|passwd|secret|token|api_key|apikey) {0,2}[=:] {0,2}[\"']?)(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{8,256}|\b(?=[0-9]*[A-Fa-f])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{18,256}\b",
+    "secret": r"(?<=(?i:password|passwd|secret|token|api_key|apikey) {0,2}[=:] {0,2}[\"']?)(?=[A-Za-z+/_.=~-]*+[0-9])(?=[A-Za-z0-9+/_.=~-]{7}[A-Za-z0-9+/_=~-])[A-Za-z0-9+/_=~-]++(?:\.++[A-Za-z0-9+/_=~-]++)*+|\b(?=[0-9]*+[A-Fa-f])(?=[A-Fa-f]*+[0-9])[0-9A-Fa-f]{18,}+\b",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "card": r"(?<![\d-])(?:\d{16}|\d{15}|\d{4}(?:(?: \d{4}){3}|(?:-\d{4}){3}))(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\w.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-])",
-    "name": rf"(?<=\b(?:{_TITLE})\.? ){_NAME}(?: {_NAME})?",
+    "name": rf"(?<=\b(?:{_TITLE})\.? ){_NAME}(?: {_NAME})*+",
 }
 #: A text without any of these has no entity.
 TRIGGER = rf"[0-9@]|\b(?:{_TITLE})\b"
@@ -101,11 +103,11 @@ def _letters(alphabet: str, n: Column) -> Column:
 def _same_shape(text: Column, stream: Column, lower: str = "abcdefghijklmnopqrstuvwxyz", upper: str = "ABCDEFGHIJKLMNOPQRSTUVWXYZ") -> Column:
     """Letters for letters of the same case, digits for digits, the rest as it is."""
 
-    def one(i: Column) -> Column:
-        c, n = _char(text, i), _digit(stream, i)
+    def one(c: Column, i: Column) -> Column:
+        n = _digit(stream, i + 1)
         return F.when(c.rlike("[0-9]"), _letters("0123456789", n)).when(c.rlike("[a-z]"), _letters(lower, n)).when(c.rlike("[A-Z]"), _letters(upper, n)).otherwise(c)
 
-    return F.when(F.length(text) > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), one), "")).otherwise(text)
+    return F.array_join(F.transform(F.split(text, ""), one), "")
 
 
 def _luhn(digits: Column) -> Column:

@@ -71,3 +71,23 @@ def test_no_python(spark):
 
 def test_empty(spark):
     assert pii.replace(frame(spark, []), "key").count() == 0
+
+
+def test_whole_entities(spark):
+    """Nothing of a long name or secret stays in clear, and coreference holds."""
+    long, digits = "aB3x" * 75, "0a1b2c3d" * 40
+    jwt = "eyJhbGciOi1.eyJzdWIiOiIx.c2ln-bmF0_dXJl=="
+    rows = [
+        (1, "Mrs. Anna Maria Smith met Mr. Smith and Frau Anna Weber, Herr Maria."),
+        (2, f"token={long} end"), (3, f"token={jwt}. Then"), (4, f"key {digits} end"), (5, f"secret: {jwt}"),
+        (6, "Mr. " + "Ab " * 1_000 + "x"), (7, "password=" + "q7.Z" * 500),
+    ]
+    got = {r.doc_id: r for r in pii.replace(frame(spark, rows), "key", count_col="n").collect()}
+    one = re.fullmatch(r"Mrs\. (\w+) (\w+) (\w+) met Mr\. (\w+) and Frau (\w+) (\w+), Herr (\w+)\.", got[1].text).groups()
+    assert one[2] == one[3] and one[0] == one[4] and len({*one, "Anna", "Maria", "Smith", "Weber"}) == 9
+    assert re.fullmatch(r"token=[a-z][A-Z]\d[a-z]\S{296} end", got[2].text) and "aB3x" not in got[2].text[-60:]
+    assert not set(jwt.rstrip("=").split(".")) & set(re.split(r"[.=]", got[3].text)) and got[3].text.endswith("==. Then")
+    assert got[5].text[8:] == got[3].text[6:-6]
+    assert re.fullmatch(r"key [0-9a-f]{320} end", got[4].text) and digits[-40:] not in got[4].text
+    assert "Ab" not in got[6].text.split() and got[6].n == 1
+    assert got[7].n == 1 and len(got[7].text) == len(rows[6][1]) and "q7.Zq7.Z" not in got[7].text
