@@ -1,7 +1,7 @@
 """Surrogates for personal data and secrets. DataFrame operations only.
 
-One pattern finds all entities of a text; texts without a digit, an @ or a title are passed
-by at once. Every distinct entity of the corpus gets one surrogate from a keyed digest, so
+One pattern finds all entities of a text; texts without a digit, an @, a title or the
+beginning of an access key are passed by at once. Every distinct entity of the corpus gets one surrogate from a keyed digest, so
 that equal entities stay equal and, by collision checks, different ones different: a
 surrogate that two entities draw, or that is itself an entity of the corpus, is drawn again
 by all but one. Surrogates are put into each occurrence's own form.
@@ -68,8 +68,8 @@ PATTERNS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\w.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-])",
     "name": rf"(?<=\b(?:{_TITLE})\.? ){_NAME}(?: {_NAME})*+",
 }
-#: A text without any of these has no entity.
-TRIGGER = rf"[0-9@]|\b(?:{_TITLE})\b"
+#: A text without any of these has no entity; access keys may have no digit.
+TRIGGER = rf"[0-9@]|\b(?:{_TITLE})\b|AKIA|ASIA"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 
