@@ -37,7 +37,8 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.verdicts(_table(spark, sf_dir, "documents"), exact_dedup.one_off_index(spark))
+    with exact_dedup.one_off_index(spark) as index:
+        return exact_dedup.verdicts(_table(spark, sf_dir, "documents"), index)
 
 
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,33 +1,37 @@
 """SimHash near-duplicates by multi-index hashing.
 
-A 64-bit fingerprint is cut into segments. From each distinct fingerprint every value is
-enumerated that differs in at most one bit of one segment (a ball of radius one within each
-segment, the other segments untouched), and the fingerprint is filed under these values.
-Two fingerprints at distance two or less reach a common value: flip one differing bit of
-each. The segment tables are therefore kept as one table of complete values, which gives
-what tables of bare segments lack: at most 65 fingerprints can be filed under one value, so
-no group is hot, whatever the texts. Which flips reached a value fits in one 64-bit mask,
-so a group is a map-side combined OR and is never collected. Its members are rebuilt from
-the mask and linked to the least of them, each link verified by its complete distance.
-Links of a group are a star, never all pairs; components of the stars are components of
-all links.
+A 64-bit fingerprint is cut into segments, and each distinct fingerprint is filed in a table
+of (segment, value). By the pigeonhole principle two fingerprints within a distance differ in
+few bits of at least one segment: with d = a * segments + b, in at most a bits of one of the
+first b + 1 segments or in fewer than a bits of one of the others. Each fingerprint therefore
+enumerates the ball of that radius within each segment, fetches the fingerprints that the
+tables have under these values, and verifies the complete distance.
+
+A value that more than HOT fingerprints share is not matched: the fingerprints that are filed
+there or that reach it are matched again over half as many, hence twice as long segments, at
+last over whole fingerprints, where no value is hot. There each is filed under all values of
+the ball of half the distance, and those that meet at a value are within the distance of the
+least of them: links of a group are a star, never all pairs, whatever the texts.
 
 Defined results
 * null or empty text, or one without words: fingerprint 0, linked like any other.
+* very long text: read whole; bits are counted 2^14 shingles at a time.
 * fewer words than a shingle has: the whole sequence is the one shingle.
 * null id: ignored for component ids; a component of nothing else has a null id.
-* repeated rows: one result row each, same component.
+* ties (equal fingerprints) and repeated rows: one result row each, same component.
 * empty table: empty result. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -35,6 +39,8 @@ from .storage import discard, quoted, stash, with_row_key
 
 SEED = 42
 BITS = 64
+#: The most fingerprints under a value of a segment that are compared with those that reach it.
+HOT = 64
 
 
 def fingerprint(text: bytes | None, words: int = 3) -> int:
@@ -71,35 +77,63 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return slim.mapInArrow(run, "doc_id long, fp long")
 
 
-def segment_flips(segments: int) -> list[int]:
-    """Masks of the balls of radius one within each segment, as signed longs: no flip, then
-    the flips of each segment in turn."""
-    if BITS % segments:
-        raise ValueError("segments must divide 64")
-    width = BITS // segments
-    return [0] + [int(np.uint64(1 << (s * width + b)).astype(np.int64)) for s in range(segments) for b in range(width)]
-
-
-def links(distinct_fps: DataFrame, max_distance: int = 2, segments: int = 4) -> DataFrame:
-    """``a, b``: links whose components are those of all pairs within ``max_distance``
-    (0 to 2) among the column ``fp`` of distinct fingerprints."""
-    if max_distance not in (0, 1, 2):
-        raise ValueError("max_distance must be 0, 1 or 2")
-    masks = F.array(*[F.lit(m).cast("long") for m in segment_flips(segments)])
-    filed = distinct_fps.select("fp", F.explode(masks).alias("flip")).select(F.col("fp").bitwiseXOR(F.col("flip")).alias("value"), "flip")
-    met = filed.groupBy("value").agg(F.bit_or("flip").alias("flips"), F.max((F.col("flip") == 0).cast("int")).alias("itself"))
-    met = met.filter(F.bit_count("flips") + F.col("itself") > 1)
-    reached = F.filter(masks, lambda m: F.when(m == 0, F.col("itself") == 1).otherwise(F.col("flips").bitwiseAND(m) != 0))
-    members = met.select(F.transform(reached, lambda m: F.col("value").bitwiseXOR(m)).alias("fps"))
-    if max_distance == 2:
-        stars = members.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b"))
-    else:  # distance one: only to the value itself, which is then a fingerprint
-        stars = met.filter("itself = 1").select(F.col("value").alias("a"), F.explode(F.transform(reached, lambda m: F.col("value").bitwiseXOR(m))).alias("b"))
-    distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return stars.filter((distance > 0) & (distance <= max_distance)).distinct()
+def ball(offset: int, width: int, radius: int) -> list[int]:
+    """Masks of all flips of at most ``radius`` of ``width`` bits from ``offset`` on, as
+    signed longs; none for a negative radius."""
+    flips = itertools.chain.from_iterable(itertools.combinations(range(offset, offset + width), n) for n in range(radius + 1))
+    return [int(np.array(sum(1 << b for b in bits), np.uint64).astype(np.int64)) for bits in flips]
+
+
+def segment_radii(max_distance: int, segments: int) -> list[int]:
+    """The radius of the ball within each segment; -1 where a segment need not be searched."""
+    whole, rest = divmod(max_distance, segments)
+    return [whole if s <= rest else whole - 1 for s in range(segments)]
 
 
-def classes(fps: DataFrame, max_distance: int = 2, segments: int = 4) -> DataFrame:
+def _filed(fps: DataFrame, balls: list[list[int]], width: int) -> DataFrame:
+    """``segment, value, fp``: each fingerprint under the values of a ball in each segment."""
+    out = []
+    for s, masks in enumerate(balls):
+        inside = int(np.array(((1 << width) - 1) << s * width, np.uint64).astype(np.int64))
+        if masks:
+            flipped = F.explode(F.array(*[F.lit(m).cast("long") for m in masks]))
+            out.append(fps.select(F.lit(s).alias("segment"), F.col("fp"), flipped.alias("flip")).select("segment", F.col("fp").bitwiseXOR(F.col("flip")).bitwiseAND(inside).alias("value"), "fp"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def links(distinct_fps: DataFrame, max_distance: int = 2, segments: int = 2, hot: int = HOT) -> DataFrame:
+    """``a, b``: links whose components are those of all pairs within ``max_distance`` among
+    the column ``fp`` of distinct fingerprints, which should be stored. Each is verified."""
+    if BITS % segments or segments & segments - 1:
+        raise ValueError("segments must be a power of two that divides 64")
+    width = BITS // segments
+    distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+    if segments == 1:
+        near, far = (ball(0, BITS, r) for r in (max_distance // 2, max_distance - max_distance // 2))
+        if len(near) == len(far):
+            met = _filed(distinct_fps, [near], BITS)
+            stars = met.withColumn("a", F.min("fp").over(Window.partitionBy("value"))).select("a", F.col("fp").alias("b"))
+        else:  # an odd distance: the larger ball of one meets the smaller of the other
+            stars = _filed(distinct_fps, [far], BITS).withColumnRenamed("fp", "a").join(_filed(distinct_fps, [near], BITS).withColumnRenamed("fp", "b"), "value").select("a", "b")
+        return stars.filter((F.col("a") != F.col("b")) & (distance <= max_distance)).distinct()
+    radii = segment_radii(max_distance, segments)
+    table = _filed(distinct_fps, [ball(0, 0, min(0, r)) for r in radii], width)
+    probes = _filed(distinct_fps, [ball(s * width, width, r) for s, r in enumerate(radii)], width)
+    crowded, path = stash(table.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot).select("segment", "value"), "hot-values")
+    again = None
+    if not crowded.isEmpty():
+        again, _ = stash(probes.join(crowded, ["segment", "value"], "left_semi").select("fp").distinct(), "fingerprints-at-hot-values")
+        table = table.join(crowded, ["segment", "value"], "left_anti")
+    met = probes.withColumnRenamed("fp", "a").join(table.withColumnRenamed("fp", "b"), ["segment", "value"])
+    # either of a pair reaches the other, so that one direction is enough
+    found = met.filter((F.col("a") < F.col("b")) & (distance <= max_distance)).select("a", "b").distinct()
+    if again is not None:
+        return found.unionByName(links(again, max_distance, segments // 2, hot)).distinct()
+    discard(distinct_fps.sparkSession, path)
+    return found
+
+
+def classes(fps: DataFrame, max_distance: int = 2, segments: int = 2) -> DataFrame:
     """``doc_id, fp, component_id`` for rows of ``doc_id, fp``: the smallest doc_id that is
     reachable over links between fingerprints. ``fps`` should be stored, it is read twice."""
     least, path = stash(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
@@ -121,7 +155,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """The rows of ``docs`` without those near to one that stays; of each component the row
     with the smallest id stays (of rows without id or with equal ids, the first stored).
     Texts are written once and meet the list of dropped rows once."""
-    table, key, _ = with_row_key(docs, "keyed-documents")
+    table, key = with_row_key(docs, "keyed-documents")
     order = F.struct(quoted(id_col).isNull().alias("none"), quoted(id_col).cast("long").alias("id"), F.col(key).alias("key"))
     # rows are ranked by (id, key) where classes() wants ids, hence the row key stands for both
     fps, fps_path = stash(fingerprints(table, key, text_col, words), "fingerprints")

@@ -13,6 +13,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,14 +67,34 @@ def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def with_row_key(docs: DataFrame, label: str) -> tuple[DataFrame, str, str]:
-    """Stash ``docs`` with a number that tells repeated rows apart.
+#: Bits of a row's number within its file.
+ROW_BITS = 40
 
-    The number is written once, so that later reads agree on it even if the input is then
-    split otherwise. Returns the table, the number's column and the path."""
+
+def _file_rows(docs: DataFrame, key: str) -> DataFrame | None:
+    """``docs`` with a number made of file and row, or None where they come from no files."""
+    if "_metadata" in {c.lower() for c in docs.columns}:
+        return None
+    path, place = spare(docs.columns, "file_path"), spare(docs.columns, "file_row")
+    try:
+        placed = docs.select(*[quoted(c) for c in docs.columns], F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place))
+    except AnalysisException:
+        return None
+    # one path for each input file, which the planner lists on the driver anyway
+    paths = sorted(r[0] for r in placed.select(path).distinct().collect())
+    files = docs.sparkSession.createDataFrame(list(enumerate(paths)), f"file_no long, `{path}` string")
+    number = F.shiftleft("file_no", ROW_BITS) + F.col(place)
+    return placed.join(F.broadcast(files), path).select(*[quoted(c) for c in docs.columns], number.alias(key))
+
+
+def with_row_key(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``docs`` with a number that tells repeated rows apart, and the number's column.
+
+    Rows of files are numbered by their places there, which every later read agrees on. Other
+    rows are written once with a number, so that it stays even if the input is split otherwise."""
     key = spare(docs.columns, "row_key")
-    table, path = stash(docs.withColumn(key, F.monotonically_increasing_id()), label)
-    return table, key, path
+    found = _file_rows(docs, key)
+    return (stash(docs.withColumn(key, F.monotonically_increasing_id()), label)[0] if found is None else found), key
 
 
 _shipped: set[str] = set()
