@@ -1,282 +1,233 @@
-"""Near-duplicate embeddings by cover trees and dual traversal, exact.
-
-On unit vectors a cosine of at least t is a distance of at most sqrt(2 - 2t). A cover tree
-of a bounded sample has levels whose radii halve; its leaves are cells, every vector joins
-the cell whose centre is nearest, and each cell's covering radius is the largest distance
-found over all vectors. Pairs of cells whose radii keep them apart are pruned. Cells are
-dealt out in blocks of a bounded number of vectors; each pair of blocks of a surviving pair
-of cells is one task, in which cover trees of both blocks are traversed together: pairs of
-nodes are pruned, taken whole, or split, and what is left between leaves is multiplied out
-densely. A task returns for each vector its number of links and one link towards the least
-vector of its local class, so dense groups never become lists of pairs.
+"""Near-duplicate embeddings by a distributed cover tree and dual traversal, exact.
+
+Equal vectors are first put together, with their number. The tree of all vectors is grown in
+rounds: each node of more vectors than a block draws a bounded random sample, the leaves of
+the sample's cover tree are the centres of its children, and every vector of the node goes to
+the child whose centre is nearest, in tasks of bounded size. Covering radii are measured over
+all vectors, not over the sample. Nodes so narrow that all their vectors link are not split.
+
+Pairs of nodes are then traversed from the root down, in joins of the nodes' own table, and
+those that their covering radii keep apart are pruned before any vector moves. Narrow nodes of
+many vectors that link as a whole are settled by their numbers alone. The other nodes are put
+together in blocks, neighbours in the tree next to each other, and each pair of blocks that
+has a pair of nodes left is one task, which builds cover trees of both and traverses them
+together down to exact cosines (cover_tree.py). A task returns for each vector its number of
+links and one link towards the least vector of its local class, so dense groups never become
+lists of pairs.
 
 Defined results
 * null vectors, zero vectors, and vectors with null or non-finite components or of no
-  components: no links. Vectors of different lengths never link.
+  components: no links. Vectors of different lengths never link. Equal vectors always do.
+* components of any size, 1e-200 too: vectors are scaled before their lengths are taken.
 * null id: such a vector links like others; a class of nothing else has a null id.
-* repeated rows are vectors of their own. ``kept`` is true of every row with the least id.
-* empty table: empty result. Labels and other columns are ignored.
+* ties and repeated rows are vectors of their own. ``kept`` is true of every row with the
+  least id.
+* empty table: empty result. Labels and other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .components import components
+from .cover_tree import SLACK, DualTraversal, build, unit
 from .storage import quoted, stash
 
-#: Vectors in a block, at most on average; vectors of the sample; cells of its tree at most.
-BLOCK_ROWS, SAMPLE, CELLS = 4096, 2048, 128
-#: A node of more children than FANOUT, or of at most LEAF vectors, is a leaf.
-FANOUT, LEAF, TILE = 32, 64, 1024
-#: What rounding may change of a distance, and of a cosine in single precision.
-SLACK, SINGLE = 1e-7, 2e-5
-
-
-@dataclass
-class Node:
-    centre: np.ndarray
-    radius: float  # the largest distance of a vector from the centre
-    rows: np.ndarray
-    children: list[Node] = field(default_factory=list)
-
-
-def _net(unit: np.ndarray, rows: np.ndarray, radius: float, most: int) -> list[np.ndarray] | None:
-    """Groups of rows within ``radius`` of their first row, which are further apart than
-    that; None if there were more than ``most``."""
-    groups, left = [], rows
-    while len(left):
-        if len(groups) == most:
-            return None
-        near = np.linalg.norm(unit[left] - unit[left[0]], axis=1) <= radius
-        groups.append(left[near])
-        left = left[~near]
-    return groups
-
-
-def cover_tree(unit: np.ndarray, rows: np.ndarray | None = None, level: float = 2.0, leaf: int = LEAF, fanout: int = FANOUT) -> Node:
-    """A tree over the unit vectors; the children of a node at ``level`` are a net of half
-    that radius. Levels at which a node has a single child are passed through."""
-    rows = np.arange(len(unit)) if rows is None else rows
-    centre = unit[rows[0]] if len(rows) else np.zeros(unit.shape[1])
-    radius = float(np.linalg.norm(unit[rows] - centre, axis=1).max()) if len(rows) else 0.0
-    node = Node(centre, radius, rows)
-    while len(rows) > leaf and radius > SLACK:
-        level /= 2
-        if level >= radius:
-            continue
-        groups = _net(unit, rows, level, fanout)
-        if groups is None:
-            break
-        if len(groups) > 1:
-            node.children = [cover_tree(unit, g, level, leaf, fanout) for g in groups]
-            break
-    return node
-
-
-def leaves(node: Node) -> Iterator[Node]:
-    if node.children:
-        for child in node.children:
-            yield from leaves(child)
-    else:
-        yield node
-
-
-class DualTraversal:
-    """Links between two sets of vectors, or within one (``b`` is None)."""
-
-    def __init__(self, a: np.ndarray, b: np.ndarray | None, threshold: float):
-        self.same = b is None
-        self.a, self.b = self._unit(a), self._unit(a if self.same else b)
-        self.raw = a.astype(np.float64), (a if self.same else b).astype(np.float64)
-        self.single = self.a.astype(np.float32), self.b.astype(np.float32)
-        self.threshold = threshold
-        self.reach = math.sqrt(max(0.0, 2 - 2 * threshold))
-        self.links = np.zeros(len(self.a), np.int64), np.zeros(len(self.b), np.int64)
-        self.offset = 0 if self.same else len(self.a)
-        self.parent = np.arange(len(self.a) + (0 if self.same else len(self.b)))
-        tree = cover_tree(self.a)
-        if len(self.a) and len(self.b):
-            self.visit(tree, tree if self.same else cover_tree(self.b))
-
-    @staticmethod
-    def _unit(x: np.ndarray) -> np.ndarray:
-        x = x.astype(np.float64)
-        return x / np.linalg.norm(x, axis=1, keepdims=True)
-
-    def visit(self, x: Node, y: Node) -> None:
-        stack = [(x, y)]
-        while stack:
-            x, y = stack.pop()
-            apart = float(np.linalg.norm(x.centre - y.centre))
-            if apart - x.radius - y.radius > self.reach + SLACK:
-                continue
-            if apart + x.radius + y.radius < self.reach - SLACK:
-                self.all_link(x, y)
-            elif not x.children and not y.children:
-                self.dense(x.rows, y.rows)
-            elif not y.children or x.children and x.radius >= y.radius:
-                stack += [(c, y) for c in x.children]
-            else:
-                stack += [(x, c) for c in y.children]
-
-    def all_link(self, x: Node, y: Node) -> None:
-        inside = np.isin(x.rows, y.rows, assume_unique=True) if self.same else np.zeros(len(x.rows), bool)
-        self.links[0][x.rows] += len(y.rows) - inside
-        if not self.same:
-            self.links[1][y.rows] += len(x.rows)
-        for i in x.rows:
-            self.join(int(i), int(y.rows[0]) + self.offset)
-        for j in y.rows[1:]:
-            self.join(int(x.rows[0]), int(j) + self.offset)
-
-    def dense(self, rows: np.ndarray, cols: np.ndarray) -> None:
-        for i in range(0, len(rows), TILE):
-            r = rows[i : i + TILE]
-            for j in range(0, len(cols), TILE):
-                c = cols[j : j + TILE]
-                cosine = self.single[0][r] @ self.single[1][c].T
-                near = cosine >= self.threshold - SINGLE
-                if not near.any():
-                    continue
-                # those that single precision cannot decide are decided in double precision
-                at = np.nonzero(near & (cosine < self.threshold + SINGLE))
-                if len(at[0]):
-                    p, q = self.raw[0][r[at[0]]], self.raw[1][c[at[1]]]
-                    exact = (p * q).sum(axis=1) / (np.linalg.norm(p, axis=1) * np.linalg.norm(q, axis=1))
-                    near[at] = exact >= self.threshold
-                if self.same:
-                    near &= r[:, None] != c[None, :]
-                self.links[0][r] += near.sum(axis=1)
-                if not self.same:
-                    self.links[1][c] += near.sum(axis=0)
-                self.join_all(near, r, c + self.offset)
-
-    def join_all(self, near: np.ndarray, r: np.ndarray, c: np.ndarray) -> None:
-        """Join what a matrix of links connects, one breadth-first search per class."""
-        left = near.any(axis=1)
-        while left.any():
-            seed = int(np.argmax(left))
-            mine, seen = near[seed].copy(), np.zeros(len(r), bool)
-            seen[seed] = True
-            while True:
-                more = near[:, mine].any(axis=1) & ~seen
-                if not more.any():
-                    break
-                seen |= more
-                mine |= near[more].any(axis=0)
-            left &= ~seen
-            root = int(r[seed])
-            for i in r[seen]:
-                self.join(root, int(i))
-            for j in c[mine]:
-                self.join(root, int(j))
-
-    def root(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = int(self.parent[i])
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        i, j = self.root(i), self.root(j)
-        if i != j:
-            self.parent[max(i, j)] = min(i, j)
-
-
-def _cells(rows: pd.DataFrame) -> dict[int, tuple[np.ndarray, int]]:
-    """By vector length: the centres of the cells of a sample, and the number of the first."""
-    out, first = {}, 0
-    for n, group in rows.groupby("dim"):
-        unit = DualTraversal._unit(np.stack([np.frombuffer(v, "<f8") for v in group.vector]))
-        found = list(leaves(cover_tree(unit, leaf=max(LEAF, len(unit) // CELLS), fanout=FANOUT)))
-        out[int(n)] = np.stack([x.centre for x in found]), first
-        first += len(found)
-    return out
-
-
-def link_counts(vectors: DataFrame, threshold: float, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Stored tables of all rows (row_key, vec_id), and of ``row_key, n, root`` from each
-    pair of blocks that links a row."""
-    spark = vectors.sparkSession
-    raw = quoted(vector_col).cast("array<double>")
-    good = raw.isNotNull() & (F.size(raw) > 0) & F.forall(raw, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))) & F.exists(raw, lambda x: x != 0)
-    base, _ = stash(vectors.select(quoted(id_col).cast("long").alias("vec_id"), F.when(good, raw).alias("vector")).withColumn("row_key", F.monotonically_increasing_id()), "vectors")
+#: Vectors in a block at most; vectors in the sample of a node, on average; vectors that one
+#: task assigns to children.
+BLOCK_ROWS, SAMPLE, ASSIGNED_ROWS = 8192, 1024, 65536
+#: Rounds of splitting; each divides a node by about SAMPLE, so that these suffice for any table.
+MAX_ROUNDS = 64
 
-    def to_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = [np.array(x, "<f8") for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in lists], pa.int64()), pa.array([x.tobytes() for x in lists], pa.binary())], ["row_key", "dim", "vector"])
+_POINTS = "node string, key long, weight long, vector binary, apart double"
+
+
+def _matrix(vectors: pd.Series, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), -1)
 
-    # at most SAMPLE vectors reach the driver; the tree made of them has as many cells at most
-    packed = base.filter("vector is not null").select("row_key", "vector").mapInArrow(to_bytes, "row_key long, dim long, vector binary")
-    cells = _cells(packed.limit(SAMPLE).toPandas())
-    shared = spark.sparkContext.broadcast(cells)
-    unknown = sum(len(c) for c, _ in cells.values())
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+def _distinct(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, DataFrame, str]:
+    """Stored rows (row_key, vec_id, vector, the components as they are) of all vectors, the
+    distinct ones that can link (node, key, weight, vector), and numpy's name of a component."""
+    given = quoted(vector_col)
+    single = vectors.select(given).schema[0].dataType.simpleString() == "array<float>"
+    kind, raw = ("<f4", given) if single else ("<f8", given.cast("array<double>"))
+    good = raw.isNotNull() & (F.size(raw) > 0) & F.forall(raw, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))) & F.exists(raw, lambda x: x != 0)
+    base = vectors.select(F.monotonically_increasing_id().alias("row_key"), quoted(id_col).cast("long").alias("vec_id"), F.when(good, raw).alias("vector"))
+
+    def to_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims = batch.column(1).to_numpy()
-            cell, apart = np.full(len(dims), unknown), np.full(len(dims), 2.0)
-            for n in np.unique(dims).tolist():
-                at = np.flatnonzero(dims == n)
-                if n in known:
-                    unit = DualTraversal._unit(np.stack([np.frombuffer(batch.column(2)[i].as_py(), "<f8") for i in at.tolist()]))
-                    centres, first = known[n]
-                    best = np.argmax(unit @ centres.T, axis=1)
-                    cell[at], apart[at] = best + first, np.linalg.norm(unit - centres[best], axis=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int64()), pa.array(apart, pa.float64())], ["row_key", "dim", "vector", "cell", "apart"])
-
-    assigned, _ = stash(packed.mapInArrow(assign, "row_key long, dim long, vector binary, cell long, apart double"), "assigned-vectors")
-    sizes = {(r.dim, r.cell): (r.n, r.radius) for r in assigned.filter(F.col("cell") < unknown).groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("apart").alias("radius")).collect()}
-    reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + SLACK
-    blocks = {k: -(-n // block_rows) for k, (n, _) in sizes.items()}
-    partners = []
-    for (dim, x), (_, rx) in sizes.items():
-        centres, first = cells[dim]
-        for (other, y), (_, ry) in sizes.items():
-            if other == dim and np.linalg.norm(centres[x - first] - centres[y - first]) - rx - ry <= reach:
-                partners.append((x, blocks[dim, x], y, blocks[dim, y]))
-    # at most (number of cells)^2 rows, which the parameters bound
-    table = spark.createDataFrame(pd.DataFrame(partners, columns=["cell", "own_blocks", "cell_2", "blocks_2"]), "cell long, own_blocks long, cell_2 long, blocks_2 long") if partners else spark.createDataFrame([], "cell long, own_blocks long, cell_2 long, blocks_2 long")
-    placed = assigned.join(F.broadcast(table), "cell").withColumn("block", F.pmod(F.xxhash64("row_key"), F.col("own_blocks")))
-    copies = placed.withColumn("block_2", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks_2") - 1)))
-    mine, theirs = F.struct(F.col("cell").alias("c"), F.col("block").alias("b")), F.struct(F.col("cell_2").alias("c"), F.col("block_2").alias("b"))
-    low, high = F.least(mine, theirs), F.greatest(mine, theirs)
-    rare = assigned.filter(F.col("cell") == unknown)  # lengths that the sample lacks: a cell each
-    side = lambda d: d.select(F.col("low.c").alias("c1"), F.col("low.b").alias("b1"), F.col("high.c").alias("c2"), F.col("high.b").alias("b2"), "second", "row_key", "vector")
-    tasks = side(copies.select(low.alias("low"), high.alias("high"), (mine != low).alias("second"), "row_key", "vector"))
-    tasks = tasks.unionByName(side(rare.select(F.struct((-F.col("dim")).alias("c"), F.lit(0).cast("long").alias("b")).alias("low"), F.struct((-F.col("dim")).alias("c"), F.lit(0).cast("long").alias("b")).alias("high"), F.lit(False).alias("second"), "row_key", "vector")))
-
-    def pair(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        parts = [group[~group.second], group[group.second]]
-        data = [np.frombuffer(b"".join(p.vector), "<f8").reshape(len(p), -1) if len(p) else None for p in parts]
-        if data[0] is None or data[1] is None and key[:2] != key[2:]:
-            return pd.DataFrame({"row_key": [], "n": [], "root": []}).astype("int64")
-        found = DualTraversal(data[0], data[1], threshold)
-        keys = np.concatenate([p.row_key.to_numpy() for p in parts])
-        n = found.links[0] if found.same else np.concatenate(found.links)
+            # + 0.0: a negative zero is a zero
+            packed = [None if x is None else (np.array(x, kind) + np.array(0, kind)).tobytes() for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["row_key", "vec_id", "vector"])
+
+    rows, _ = stash(base.mapInArrow(to_bytes, "row_key long, vec_id long, vector binary"), "vectors")
+    some = rows.filter("vector is not null").groupBy("vector").agg(F.min("row_key").alias("key"), F.count(F.lit(1)).alias("weight"))
+    points = some.select(F.octet_length("vector").cast("string").alias("node"), "key", "weight", "vector", F.lit(2.0).alias("apart"))
+    return rows, stash(points, "distinct-vectors")[0], kind
+
+
+def _grow(points: DataFrame, kind: str, block_rows: int, narrow: float, sample: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Split nodes until each has ``block_rows`` vectors at most or a radius below ``narrow``.
+    Returns the vectors by leaf, and of each level the stored nodes: node, parent, centre,
+    radius, n, weight, least (key), wide (it is split), block (of a leaf of few vectors)."""
+
+    def centres(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        """The children's centres, neighbours next to each other."""
+        group = group.sort_values("key", ignore_index=True)
+        tree = build(unit(_matrix(group.vector, kind)), leaf=1, least_radius=narrow / 2)
+        order = tree.leaves[np.argsort(tree.start[tree.leaves])]
+        # the vector that is furthest from the node's centre is one too, which ends every split
+        chosen = list(dict.fromkeys([*group.vector[tree.centre[order]], group.far[0]]))
+        return pd.DataFrame({"parent": key[0], "place": range(len(chosen)), "node": [f"{key[0]}/{i}" for i in range(len(chosen))], "centre": chosen})
+
+    def assign(key: tuple, rows: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        given, raw = given.sort_values("place"), _matrix(rows.vector, kind)
+        middle, names = unit(_matrix(given.centre, kind)), given.node.to_numpy()
+        child, apart = np.zeros(len(raw), np.int64), np.zeros(len(raw))
+        for s in range(0, len(raw), 4096):
+            u = unit(raw[s : s + 4096])
+            best = np.argmax(u @ middle.T, axis=1)
+            child[s : s + 4096], apart[s : s + 4096] = best, np.linalg.norm(u - middle[best], axis=1)
+        return pd.DataFrame({"node": names[child], "key": rows.key, "weight": rows.weight, "vector": rows.vector, "apart": apart})
+
+    done, levels, born = [], [], None
+    before = F.sum("n").over(Window.partitionBy("parent").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+    block = F.concat_ws(":", F.coalesce("parent", "node"), F.floor(F.coalesce(before, F.lit(0)) / block_rows).cast("string"))
+    for _ in range(MAX_ROUNDS):
+        sizes = points.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight"), F.max("apart").alias("radius"), F.min("key").alias("least"), F.max_by("vector", "apart").alias("far"))
+        sizes = sizes.withColumns({"parent": F.lit(None).cast("string"), "place": F.lit(0), "centre": F.lit(None).cast("binary")}) if born is None else sizes.join(born, "node")
+        sizes = sizes.withColumn("wide", (F.col("n") > block_rows) & (F.col("radius") >= narrow))
+        sizes, _ = stash(sizes.withColumn("block", F.when(F.col("n") <= block_rows, block)), "tree-nodes")
+        levels.append(sizes)
+        wide = sizes.filter("wide").select("node", "n", "far", "least")
+        if wide.isEmpty():
+            return reduce(DataFrame.unionByName, [*done, points]), levels
+        done.append(points.join(wide.select("node"), "node", "left_anti"))
+        big = points.drop("apart").join(wide, "node")
+        # a draw by the key's digest: an even share of the node, whatever the order of the table
+        drawn = big.filter((F.pmod(F.xxhash64("key", "node"), F.col("n")) < sample) | (F.col("key") == F.col("least")))
+        born, _ = stash(drawn.groupBy("node").applyInPandas(centres, "parent string, place int, node string, centre binary"), "tree-centres")
+        parts = F.ceil(F.col("n") / ASSIGNED_ROWS).cast("long")
+        spread = big.select("node", "key", "weight", "vector", F.pmod(F.xxhash64("key"), parts).alias("part"))
+        copies = born.join(wide.select(F.col("node").alias("parent"), "n"), "parent").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("n")
+        points, _ = stash(spread.groupBy("node", "part").cogroup(copies.groupBy("parent", "part")).applyInPandas(assign, _POINTS), "tree-vectors")
+    raise RuntimeError(f"nodes are still too large after {MAX_ROUNDS} rounds")
+
+
+def _left(levels: list[DataFrame], kind: str, reach: float) -> tuple[DataFrame, DataFrame]:
+    """Traverse pairs of nodes from the roots down. Returns the pairs ``x, y`` of blocks that
+    are left, and of those nodes of many vectors that are not wide: ``x, y, whole``."""
+
+    def expand(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        row = group.iloc[0]
+        sides = []
+        for side in ("x", "y"):
+            sides.append((np.array(row[f"{side}_nodes"], object), unit(_matrix(pd.Series(row[f"{side}_centres"]), kind)), np.array(row[f"{side}_radii"]), np.array(row[f"{side}_blocks"], object), np.array(row[f"{side}_wide"], bool)))
+        (nx, cx, rx, bx, wx), (ny, cy, ry, by, wy) = sides
+        apart = np.sqrt(np.maximum(0.0, 2 - 2 * (cx @ cy.T)))
+        around = rx[:, None] + ry[None, :]
+        left = apart - around <= reach + SLACK
+        if key[0] == key[1]:
+            left &= np.triu(np.ones_like(left))  # of the children of one node each pair once
+        i, j = np.nonzero(left)
+        opened = wx[i] | wy[j]
+        light = ~opened & (bx[i] != "") & (by[j] != "")
+        many = ~opened & ~light
+        blocks = pd.DataFrame({"x": bx[i[light]], "y": by[j[light]]}).drop_duplicates()
+        same = nx[i[many]] == ny[j[many]]
+        whole = np.where(same, 2 * rx[i[many]], (apart + around)[i[many], j[many]]) < reach - SLACK
+        whole &= (bx[i[many]] == "") & (by[j[many]] == "")
+        parts = [pd.DataFrame({"x": nx[i[opened]], "y": ny[j[opened]]}).assign(state="open", whole=False), blocks.assign(state="light", whole=False), pd.DataFrame({"x": nx[i[many]], "y": ny[j[many]]}).assign(state="many", whole=whole)]
+        return pd.concat(parts, ignore_index=True)[["x", "y", "state", "whole"]]
+
+    def families(level: int) -> DataFrame:
+        """What stands for each node in a traversal of this level: its children, or itself."""
+        rows = levels[level].withColumn("of", F.col("parent"))
+        for i in range(level):
+            rows = rows.unionByName(levels[i].filter("not wide and centre is not null").withColumn("of", F.col("node")))
+        members = F.array_sort(F.collect_list(F.struct("place", "node", "centre", "radius", F.coalesce("block", F.lit("")).alias("block"), "wide")))
+        listed = rows.groupBy("of").agg(members.alias("m"))
+        return listed.select("of", F.col("m.node").alias("nodes"), F.col("m.centre").alias("centres"), F.col("m.radius").alias("radii"), F.col("m.block").alias("blocks"), F.col("m.wide").alias("wide"))
+
+    roots = levels[0]
+    blocks = [roots.filter("not wide").select(F.col("block").alias("x"), F.col("block").alias("y"))]
+    many = []
+    pairs = roots.filter("wide").select(F.col("node").alias("x"), F.col("node").alias("y"))
+    for level in range(1, len(levels)):
+        family = families(level)
+        x = family.select(F.col("of").alias("x"), *[F.col(c).alias(f"x_{c}") for c in family.columns[1:]])
+        y = family.select(F.col("of").alias("y"), *[F.col(c).alias(f"y_{c}") for c in family.columns[1:]])
+        made, _ = stash(pairs.join(x, "x").join(y, "y").groupBy("x", "y").applyInPandas(expand, "x string, y string, state string, whole boolean"), "node-pairs")
+        pairs = made.filter("state = 'open'").select("x", "y")
+        blocks.append(made.filter("state = 'light'").select("x", "y"))
+        many.append(made.filter("state = 'many'").select("x", "y", "whole"))
+    none = roots.limit(0).select(F.col("node").alias("x"), F.col("node").alias("y"), F.col("wide").alias("whole"))
+    return reduce(DataFrame.unionByName, blocks), reduce(DataFrame.unionByName, many, none)
+
+
+def link_counts(points: DataFrame, kind: str, threshold: float, block_rows: int = BLOCK_ROWS, sample: int = SAMPLE) -> tuple[DataFrame, DataFrame]:
+    """``key, n`` and ``key, root``: numbers of linked vectors, to be summed by key, and links
+    whose components are those of all links, of distinct vectors."""
+    reach = math.sqrt(max(0.0, 2 - 2 * threshold))
+    placed, levels = _grow(points, kind, block_rows, max(reach / 2 - SLACK, 10 * SLACK), sample)
+    light, many = _left(levels, kind, reach)
+    many, _ = stash(many, "pairs-of-many")
+    nodes = reduce(DataFrame.unionByName, levels).filter("not wide").select("node", "n", "weight", "least", "block")
+
+    # blocks: of a node of few vectors the one it shares, of another as many as it needs
+    parts = F.ceil(F.col("n") / block_rows).cast("long")
+    block = F.coalesce("block", F.concat_ws("#", "node", F.pmod(F.xxhash64("key"), parts).cast("string")))
+    blocked = placed.join(nodes, "node").select(block.alias("block"), "key", placed.weight, "vector")
+    all_of = nodes.select("node", F.when(F.col("block").isNotNull(), F.array("block")).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda i: F.concat_ws("#", "node", i.cast("string")))).alias("all"))
+    apart = many.filter("not whole").join(all_of.toDF("x", "all_x"), "x").join(all_of.toDF("y", "all_y"), "y").select(F.explode("all_x").alias("x"), "all_y").select("x", F.explode("all_y").alias("y"))
+    pairs, _ = stash(light.unionByName(apart).select(F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q")).distinct(), "block-pairs")
+    sides = pairs.select("p", "q", F.col("p").alias("block"), F.lit(False).alias("second")).unionByName(pairs.filter("p <> q").select("p", "q", F.col("q").alias("block"), F.lit(True).alias("second")))
+
+    def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        a, b = group[~group.second], group[group.second]
+        if key[0] == key[1]:
+            found = DualTraversal(_matrix(a.vector, kind), None, threshold, a.weight.to_numpy())
+        elif len(a) and len(b):
+            found = DualTraversal(_matrix(a.vector, kind), _matrix(b.vector, kind), threshold, a.weight.to_numpy(), b.weight.to_numpy())
+        else:
+            return pd.DataFrame({"key": [], "n": [], "root": []}).astype("int64")
+        keys = np.concatenate([a.key.to_numpy(), b.key.to_numpy()])
+        n = np.concatenate(found.links)
         at = np.flatnonzero(n)
-        return pd.DataFrame({"row_key": keys[at], "n": n[at], "root": keys[[found.root(int(i)) for i in at]] if len(at) else keys[:0]})
+        return pd.DataFrame({"key": keys[at], "n": n[at], "root": keys[[found.root(i) for i in at.tolist()]] if len(at) else keys[:0]})
+
+    made, _ = stash(blocked.join(sides, "block").groupBy("p", "q").applyInPandas(compare, "key long, n long, root long"), "links")
 
-    made, _ = stash(tasks.groupBy("c1", "b1", "c2", "b2").applyInPandas(pair, "row_key long, n long, root long"), "links")
-    return base.select("row_key", "vec_id"), made
+    # pairs of nodes that link as a whole: by their numbers
+    whole = many.filter("whole")
+    at_y = nodes.select(F.col("node").alias("y"), F.col("weight").alias("n"), F.col("least").alias("root"))
+    of_x = whole.unionByName(whole.filter("x <> y").select(F.col("y").alias("x"), F.col("x").alias("y"), "whole")).join(at_y, "y")
+    each = of_x.groupBy(F.col("x").alias("node")).agg(F.sum("n").alias("n"), F.max((F.col("x") == F.col("y")).cast("int")).alias("itself"))
+    rows = placed.join(each, "node").join(nodes.select("node", "least"), "node").select("key", (F.col("n") - F.col("itself") * F.col("weight")).alias("n"), F.col("least").alias("root"))
+    across = of_x.filter("x <> y").join(nodes.select(F.col("node").alias("x"), F.col("least").alias("key")), "x").select("key", "root")
+    settled, _ = stash(rows, "links-of-whole-nodes")
+    return made.select("key", "n").unionByName(settled.select("key", "n")), made.select("key", "root").unionByName(settled.select("key", "root")).unionByName(across)
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, sample: int = SAMPLE) -> DataFrame:
     """One row per row of ``vectors``: vec_id, n_links, component_id, kept."""
-    rows, made = link_counts(vectors, threshold, id_col, vector_col, block_rows)
-    counts = made.groupBy("row_key").agg(F.sum("n").alias("n_links"))
-    roots = components(made.select("row_key", "root")).withColumnRenamed("node", "row_key").withColumnRenamed("root", "class")
-    classed, _ = stash(rows.join(counts, "row_key", "left").join(roots, "row_key", "left").select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("class", "row_key").alias("class")), "classed-vectors")
+    rows, points, kind = _distinct(vectors, id_col, vector_col)
+    counts, links = link_counts(points, kind, threshold, block_rows, sample)
+    counts = counts.groupBy("key").agg(F.sum("n").alias("n"))
+    classes = components(links).toDF("key", "class")
+    # only of vectors that occur again another row than the first is to be found
+    again = points.filter("weight > 1").select("vector", "key", "weight")
+    keyed = rows.join(again, "vector", "left").select("vec_id", F.coalesce("key", "row_key").alias("key"), (F.coalesce("weight", F.lit(1).cast("long")) - 1).alias("equal"))
+    classed, _ = stash(keyed.join(counts, "key", "left").join(classes, "key", "left").select("vec_id", (F.coalesce("n", F.lit(0).cast("long")) + F.col("equal")).alias("n_links"), F.coalesce("class", "key").alias("class")), "classed-vectors")
     lowest = classed.groupBy("class").agg(F.min("vec_id").alias("component_id"))
     return classed.join(lowest, "class").select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))

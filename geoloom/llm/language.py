@@ -14,7 +14,10 @@ tables of hosts whose size decides the join. "und" competes as uniform noise.
 Defined results
 * null or empty text, or one without letters: language "und", not accepted.
 * null host, declaration or address: no such evidence; the prior of all hosts applies.
-* null id and repeated rows: one result row each. Equal scores: the first language by code.
+* very long text: every trigram counts, tempered to TEXT_EVIDENCE of them like any longer text.
+* a language that too few rows declare: its texts go to the likeliest other language or to
+  noise; declared codes still count as evidence.
+* null id and repeated rows: one result row each. Ties, equal scores: the first language by code.
 * empty table: empty result. Other columns are ignored or, in ``keep_accepted``, kept.
 * no labelled row to fit on: every language is uniform, nothing is accepted.
 """
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -30,10 +34,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import quoted, stash
+from .storage import discard, quoted, stash, with_row_key
 
 UND = "und"
-LANGUAGES = ("de", "en", "es", "fr")
+#: A language is modelled if at least so many rows and this share of those with a code declare it.
+LEAST_ROWS, LEAST_SHARE = 20, 0.001
 #: The bound on labelled rows of each language that the trigram model is fitted on.
 FIT_ROWS = 1500
 #: Trigrams that a text counts as at most; prior rows that smooth each level of the hosts.
@@ -57,10 +62,26 @@ def trigrams(text: bytes) -> np.ndarray:
     return ((code * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
 
 
-def fit(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES, rows: int = FIT_ROWS, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> np.ndarray:
-    """Log-probabilities by language (and last "und") and bucket, from the labelled rows of
-    at most ``rows`` ids of each language, drawn by a digest of the id. Ids are drawn before
-    any text is read; only counts by bucket reach the driver."""
+@dataclass(frozen=True)
+class Model:
+    """Log-probabilities by language (and last "und") and bucket."""
+
+    languages: tuple[str, ...]
+    logp: np.ndarray
+
+
+def declared_languages(labelled: DataFrame, lang_col: str = "lang") -> tuple[str, ...]:
+    """The two-letter codes that enough rows declare, by a count over all rows."""
+    found = labelled.select(_code(quoted(lang_col).cast("string")).alias("code")).filter("code is not null").groupBy("code").agg(F.count(F.lit(1)).alias("n")).collect()  # 26^2 codes at most
+    least = max(LEAST_ROWS, LEAST_SHARE * sum(r.n for r in found))
+    return tuple(sorted(r.code for r in found if r.n >= least))
+
+
+def fit(labelled: DataFrame, languages: tuple[str, ...] | None = None, rows: int = FIT_ROWS, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> Model:
+    """A model of ``languages`` (by default those that enough rows declare), from the labelled
+    rows of at most ``rows`` ids of each, drawn by a digest of the id. Ids are drawn before any
+    text is read; only counts by bucket reach the driver."""
+    languages = declared_languages(labelled, lang_col) if languages is None else languages
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -72,10 +93,13 @@ def fit(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES, rows: int =
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["lang", "bucket", "n"])
 
-    told = labelled.select(quoted(id_col).alias("id"), quoted(lang_col).alias("lang"))
-    drawn = reduce(DataFrame.unionByName, (told.filter((F.col("lang") == code) & F.col("id").isNotNull()).orderBy(F.xxhash64("id"), "id").limit(rows) for code in languages))
+    if not languages:
+        return Model((), np.full((1, BUCKETS), -math.log(BUCKETS), np.float32))
+    code = _code(quoted(lang_col).cast("string")).alias("lang")
+    told = labelled.select(quoted(id_col).alias("id"), code)
+    drawn = reduce(DataFrame.unionByName, (told.filter((F.col("lang") == one) & F.col("id").isNotNull()).orderBy(F.xxhash64("id"), "id").limit(rows) for one in languages))
     # at most ``rows`` ids of each language, which bounds this broadcast
-    slim = labelled.select(quoted(id_col).alias("id"), quoted(lang_col).alias("lang"), quoted(text_col).cast("binary").alias("text"))
+    slim = labelled.select(quoted(id_col).alias("id"), code, quoted(text_col).cast("binary").alias("text"))
     sample = slim.join(F.broadcast(drawn.distinct()), ["id", "lang"]).select("lang", "text")
     counts = np.zeros((len(languages) + 1, BUCKETS))
     for r in sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
@@ -90,32 +114,36 @@ def fit(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES, rows: int =
     logp[-1] = -math.log(BUCKETS)
     if not counts.any():
         logp[:] = -math.log(BUCKETS)
-    return logp.astype(np.float32)
+    return Model(languages, logp.astype(np.float32))
 
 
-def text_scores(rows: DataFrame, model: np.ndarray) -> DataFrame:
+def text_scores(rows: DataFrame, model: Model) -> DataFrame:
     """``rows`` with the binary column ``text`` replaced by ``ll``, the tempered
-    log-likelihoods (null without letters)."""
+    log-likelihoods, and ``post``, the posteriors that they alone give (null without letters)."""
     at = rows.columns.index("text")
     names = [c for c in rows.columns if c != "text"]
-    by_bucket = np.ascontiguousarray(model.T)
+    by_bucket = np.ascontiguousarray(model.logp.T)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out, posts = [], []
             for text in batch.column(at):
                 codes = trigrams(text.as_py() or b"")
                 if not len(codes):
                     out.append(None)
+                    posts.append(None)
                     continue
                 total = np.zeros(by_bucket.shape[1])
                 for i in range(0, len(codes), 1 << 16):
                     total += by_bucket[codes[i : i + (1 << 16)]].sum(axis=0, dtype=np.float64)
-                out.append((total * min(1.0, TEXT_EVIDENCE / len(codes))).tolist())
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns) if i != at), pa.array(out, pa.list_(pa.float64()))], [*names, "ll"])
+                total *= min(1.0, TEXT_EVIDENCE / len(codes))
+                raised = np.exp(total - total.max())
+                out.append(total)
+                posts.append(raised / raised.sum())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns) if i != at), *(pa.array(x, pa.list_(pa.float64())) for x in (out, posts))], [*names, "ll", "post"])
 
     schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes if name != "text")
-    return rows.mapInArrow(run, f"{schema}, ll array<double>")
+    return rows.mapInArrow(run, f"{schema}, ll array<double>, post array<double>")
 
 
 def posterior(logs: Column) -> Column:
@@ -156,12 +184,12 @@ def markup_text(markup: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(bare, r"(?s)<[^>]*>", " "), r"&#?\w{1,10};", " ")
 
 
-def fuse(scored: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
-    """Add ``lang``, ``posterior``, ``accepted`` to stored rows of ``ll, declared, suffix,
-    host`` and any other columns."""
+def fuse(scored: DataFrame, languages: tuple[str, ...]) -> DataFrame:
+    """Add ``lang``, ``posterior``, ``accepted`` to stored rows of ``ll, post, declared,
+    suffix, host`` and any other columns."""
     n = len(languages) + 1
     flat = F.array(*[F.lit(0.0)] * n)
-    known = scored.withColumn("post", F.when(F.col("ll").isNotNull(), posterior(F.col("ll"))))
+    known = scored
     voters = known.filter("ll is not null")
     domain = F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)
     domain = F.when(domain != "", domain)
@@ -203,14 +231,14 @@ def fuse(scored: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame
     lang = F.element_at(F.array(*map(F.lit, (*languages, UND))), F.array_position("fused", best).cast("int"))
     lang = F.when(F.col("ll").isNull(), UND).otherwise(lang)
     fused = fused.withColumn("lang", lang).withColumn("posterior", F.when(F.col("ll").isNull(), 0.0).otherwise(best))
-    return fused.withColumn("accepted", (F.col("lang") != UND) & (F.col("posterior") >= LEAST_POSTERIOR)).select(*[c for c in scored.columns if c not in ("ll", "declared", "suffix", "host")], "lang", "posterior", "accepted", "host", "declared", "suffix", F.col("host_p").alias("host_prior"))
+    return fused.withColumn("accepted", (F.col("lang") != UND) & (F.col("posterior") >= LEAST_POSTERIOR)).select(*[c for c in scored.columns if c not in ("ll", "post", "declared", "suffix", "host")], "lang", "posterior", "accepted", "host", "declared", "suffix", F.col("host_p").alias("host_prior"))
 
 
-def identify(rows: DataFrame, keys: dict[str, Column], text: Column, host: Column, declared: Column, suffix: Column, model: np.ndarray, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
+def identify(rows: DataFrame, keys: dict[str, Column], text: Column, host: Column, declared: Column, suffix: Column, model: Model) -> DataFrame:
     """Identify the language of every row; ``keys`` are columns to carry along by name."""
     slim = rows.select(*[c.alias(k) for k, c in keys.items()], host.alias("host"), _code(declared).alias("declared"), _code(suffix).alias("suffix"), text.cast("binary").alias("text"))
     scored, _ = stash(text_scores(slim, model), "language-scores")
-    return fuse(scored, languages)
+    return fuse(scored, model.languages)
 
 
 def _document_evidence(docs: DataFrame) -> dict[str, Column]:
@@ -221,25 +249,25 @@ def _document_evidence(docs: DataFrame) -> dict[str, Column]:
     return {"text": text, "host": F.coalesce(host_of(source), F.lower(source)), "declared": F.col("lang").cast("string") if "lang" in names else F.lit(None).cast("string"), "suffix": F.regexp_extract(F.coalesce(host_of(source), F.lit("")), r"\.([a-z]{2})$", 1)}
 
 
-def identify_documents(docs: DataFrame, model: np.ndarray | None = None) -> DataFrame:
+def identify_documents(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, lang, posterior, accepted and the evidence, for each row of doc_id, text,
     lang, source."""
     return identify(docs, {"doc_id": F.col("doc_id").cast("long")}, model=fit(docs) if model is None else model, **_document_evidence(docs))
 
 
-def identify_pages(pages: DataFrame, model: np.ndarray) -> DataFrame:
+def identify_pages(pages: DataFrame, model: Model) -> DataFrame:
     """page_id, lang, posterior, accepted and the evidence, for rows of page_id, url, html."""
     html, host = F.col("html").cast("string"), host_of(F.col("url").cast("string"))
     return identify(pages, {"page_id": F.col("page_id").cast("long")}, text=markup_text(html), host=host, declared=markup_language(html), suffix=F.regexp_extract(host, r"\.([a-z]{2})$", 1), model=model)
 
 
-def keep_accepted(docs: DataFrame, model: np.ndarray | None = None) -> DataFrame:
-    """The rows of ``docs`` whose language is accepted, all columns as they are. Rejected
-    rows are told by 128 bits of digests over all that the decision depends on, so that
-    texts are neither stored nor exchanged while the rejected are few."""
-    given = _document_evidence(docs)
-    told = [F.coalesce(c.cast("string"), F.lit("\0")) for c in (F.col("doc_id"), given["text"], given["declared"], given["host"])]
-    marks = {"mark_a": F.xxhash64(*told), "mark_b": F.xxhash64(F.lit(1), *told)}
-    decided = identify(docs, marks, model=fit(docs) if model is None else model, **given)
-    gone, _ = stash(decided.filter(~F.col("accepted")).select("mark_a", "mark_b").distinct(), "rejected")
-    return docs.join(gone, (marks["mark_a"] == gone.mark_a) & (marks["mark_b"] == gone.mark_b), "left_anti")
+def keep_accepted(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """The rows of ``docs`` whose language is accepted, all columns as they are. Decisions are
+    stored by row key before any is filtered, so that the filter is not put into the scores'
+    expressions, and texts are neither stored nor exchanged while the rejected are few."""
+    table, key = with_row_key(docs, "keyed-documents")
+    decided = identify(table, {"decided_row": F.col(key)}, model=fit(docs) if model is None else model, **_document_evidence(docs))
+    decided, path = stash(decided.select("decided_row", "accepted"), "language-decisions")
+    gone, _ = stash(decided.filter(~F.col("accepted")).select(F.col("decided_row").alias(key)), "rejected")
+    discard(docs.sparkSession, path)
+    return table.join(gone, key, "left_anti").drop(key)

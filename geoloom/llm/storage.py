@@ -39,11 +39,20 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stash(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write ``df`` once and read it back: later uses neither recompute it nor depend on
-    the executors that made it. The file sizes also let the planner decide on broadcasts."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    the executors that made it. The file sizes also let the planner decide on broadcasts. The
+    shuffle files of the write are removed with its end, nothing can ask for them again."""
+    path, conf = fresh_path(df.sparkSession, label), df.sparkSession.conf
+    before = conf.get(_CLEAN_SHUFFLES)
+    conf.set(_CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEAN_SHUFFLES, before)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

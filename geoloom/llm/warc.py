@@ -10,7 +10,8 @@ frame at a time, and every record's version, headers, lengths and digest are val
 Defined results
 * null payload: the empty payload. Null address: the record has no target address.
 * null id: such a record is a response unless a row with an id has the same payload.
-* equal id and payload in several rows: each is a record; those with the largest id are
+* very large payload: one record, held whole by the task that writes or reads it.
+* ties, equal id and payload in several rows: each is a record; those with the largest id are
   responses, so repeated rows of it are several responses.
 * empty table: no archive, empty result. Other columns are ignored.
 * fewer samples than a dictionary can be made from: archives without a dictionary frame.
@@ -31,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import fresh_path, quoted, stash
+from .storage import discard, fresh_path, quoted, stash, with_row_key
 
 #: Fixed values of the formats.
 DICTIONARY_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
@@ -43,6 +44,8 @@ ID_PREFIX = "urn:x-page:"
 READ_BYTES, ARCHIVE_BYTES = 1 << 18, 64 << 20
 #: The dictionary: its size, and the bound on pages and on bytes of each that train it.
 DICTIONARY_BYTES, DICTIONARY_PAGES, DICTIONARY_PAGE_BYTES = 32 << 10, 400, 16 << 10
+#: Compressed bytes that one task reads back.
+TASK_BYTES = 128 << 20
 MANIFEST = "path string, records long, bytes long"
 
 
@@ -171,14 +174,17 @@ def train_dictionary(pages: DataFrame, payload_col: str = "html") -> bytes | Non
 def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 1000) -> DataFrame:
     """``page_id, url, payload, keeper``: ``keeper`` is the page that a revisit refers to.
 
-    Digests of large payloads are counted first; only those that occur again are matched with
-    the pages, by whatever join their stored size allows."""
-    base = pages.select(quoted(id_col).cast("long").alias("page_id"), quoted(url_col).cast("string").alias("url"), F.coalesce(quoted(payload_col).cast("binary"), F.lit(b"")).alias("payload"))
-    base = base.withColumn("digest", F.when(F.octet_length("payload") >= least_bytes, F.sha1("payload")))
-    again = base.filter("digest is not null").groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "keeper")
-    again, _ = stash(again, "payloads-again")
-    joined = base.join(again, "digest", "left")
-    return joined.select("page_id", "url", "payload", F.when(~F.col("page_id").eqNullSafe(F.col("keeper")), F.col("keeper")).alias("keeper"))
+    What is grouped and joined by digest are row keys and digests of large payloads, stored
+    once; payloads meet the list of revisits by their row keys, which no two rows share."""
+    table, key = with_row_key(pages, "keyed-pages")
+    payload = F.coalesce(quoted(payload_col).cast("binary"), F.lit(b""))
+    slim = table.select(F.col(key).alias("row_key"), quoted(id_col).cast("long").alias("page_id"), F.when(F.octet_length(payload) >= least_bytes, F.unhex(F.sha1(payload))).alias("digest"))
+    slim, slim_path = stash(slim.filter("digest is not null"), "payload-digests")
+    again = slim.groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "keeper")
+    revisits, _ = stash(slim.join(again, "digest").filter("not page_id <=> keeper and keeper is not null").select("row_key", "keeper"), "revisits")
+    discard(pages.sparkSession, slim_path)
+    base = table.select(F.col(key).alias("row_key"), quoted(id_col).cast("long").alias("page_id"), quoted(url_col).cast("string").alias("url"), payload.alias("payload"))
+    return base.join(revisits, "row_key", "left").select("page_id", "url", "payload", "keeper")
 
 
 def write(pages: DataFrame, folder: str, dictionary: bytes | None, date: str = "2020-01-01T00:00:00Z", level: int = 3) -> DataFrame:
@@ -240,7 +246,10 @@ def read(manifest: DataFrame, folder: str, with_payload: bool = False) -> DataFr
                 yield packed(rows)
 
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary, url string" * with_payload
-    return manifest.select("path", "records").repartition("path").mapInArrow(run, schema)
+    made = manifest.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).first()
+    # by a number, which adaptive execution keeps: the manifest is small whatever it lists
+    tasks = min(made.n, max(manifest.sparkSession.sparkContext.defaultParallelism, -(-(made.bytes or 0) // TASK_BYTES)))
+    return manifest.select("path", "records").repartition(max(1, tasks)).mapInArrow(run, schema)
 
 
 def round_trip(pages: DataFrame, folder: str | None = None, least_bytes: int = 1000) -> DataFrame:

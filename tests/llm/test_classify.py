@@ -51,8 +51,9 @@ def test_fusion_matches_brute_force(spark):
         host = [None, "x.one.org", "y.one.org", "z.two.net", "bare"][i % 5]
         ll = None if i % 11 == 0 else (rng.normal(size=3) * 2).tolist()
         rows.append((i, ll, [None, "aa", "bb"][i % 3], [None, "de"][i % 2], host))
-    got = {r.id: r for r in language.fuse(spark.createDataFrame(rows, "id long, ll array<double>, declared string, suffix string, host string"), langs).collect()}
     post = {i: np.exp(np.array(ll) - max(ll)) / np.exp(np.array(ll) - max(ll)).sum() for i, ll, *_ in rows if ll}
+    given = [(*r, post[r[0]].tolist() if r[0] in post else None) for r in rows]
+    got = {r.id: r for r in language.fuse(spark.createDataFrame(given, "id long, ll array<double>, declared string, suffix string, host string, post array<double>"), langs).collect()}
     domain = lambda h: h if h and "." not in h.split(".", 2)[-1] and h.count(".") == 1 else ".".join(h.split(".")[-2:]) if h and "." in h else None
     total = sum(post.values())
     base = (total + 1) / (total.sum() + n)
@@ -98,6 +99,58 @@ def test_pages(spark, written):
     assert all(got[i].lang == "und" and not got[i].accepted for i in (3, 4, 5))
 
 
+def brute_scores(texts, model_rows, languages):
+    """The model and its scores by dictionaries of trigrams."""
+    import math
+
+    def grams(text):
+        words = "".join(c if c.isalpha() or ord(c) > 127 else " " for c in text.lower()).split()
+        raw = (" " + " ".join(words) + " ").encode() if words else b""
+        return [raw[i : i + 3] for i in range(len(raw) - 2)]
+
+    bucket = lambda g: ((((g[0] * 0x9E37 + g[1]) * 0x85EB + g[2]) * 0x9E3779B1) % 2**32) >> 16
+    counts = {lang: {} for lang in languages}
+    for lang, text in model_rows:
+        for g in grams(text):
+            counts[lang][bucket(g)] = counts[lang].get(bucket(g), 0) + 1
+    used = len(set().union(*counts.values()))
+    smooth = 0.5 / 65536
+    out = []
+    for text in texts:
+        found = [bucket(g) for g in grams(text)]
+        logs = []
+        for lang in languages:
+            total = sum(counts[lang].values())
+            p = lambda b: (counts[lang].get(b, 0) + smooth) / (total + smooth * 65536)  # noqa: B023, E731
+            logs.append(sum(math.log((1 - language.NOISE) * p(b) + language.NOISE / 65536) for b in found))
+        logs.append(len(found) * -math.log(65536))
+        out.append([x * min(1.0, language.TEXT_EVIDENCE / len(found)) for x in logs] if found else None)
+    assert used
+    return out
+
+
+def test_fit_and_scores_match_brute_force(spark, written):
+    model = language.fit(written)
+    assert model.languages == ("de", "en", "es", "fr")
+    rows = written.filter("doc_id is not null and lang is not null and text is not null").collect()
+    texts = ["Haus und Wasser, 12 Straße!", "la maison 3 était", "x", "12 !", rows[3].text]
+    want = brute_scores(texts, [(r.lang, r.text) for r in rows], model.languages)
+    scored = language.text_scores(spark.createDataFrame(list(enumerate(texts)), "id int, t string").selectExpr("id", "cast(t as binary) text"), model)
+    for r in scored.collect():
+        assert (r.ll is None) == (want[r.id] is None) == (r.post is None)
+        if r.ll is not None:
+            assert r.ll == pytest.approx(want[r.id], rel=1e-5) and sum(r.post) == pytest.approx(1)
+
+
+def test_fifth_language(spark, written):
+    """A language that enough rows declare is modelled, whatever its code."""
+    rng = random.Random(9)
+    dutch = "het een van de niet met zijn voor huis water morgen straat brief omdat door zou mensen".split()
+    more = spark.createDataFrame([(5000 + i, " ".join(rng.choices(dutch, k=60)), "nl", None, 1) for i in range(40)], written.schema)
+    got = language.identify_documents(written.unionByName(more)).filter("doc_id >= 5000").collect()
+    assert {(r.lang, r.accepted) for r in got} == {("nl", True)}
+
+
 def test_language_of_nothing(written):
     assert language.identify_documents(written.limit(0)).count() == 0
     assert language.keep_accepted(written.limit(0)).count() == 0

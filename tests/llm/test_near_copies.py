@@ -1,6 +1,7 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 from geoloom.llm import components, near_copies, simhash
 
 from .corpus import ROWS
@@ -50,6 +51,18 @@ def test_prefixes_meet_at_the_threshold():
         assert near_copies.prefix_length(n, 80) == n - least + 1
 
 
+def test_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 40, 300, 9000):
+        for m in (1, n // 2 + 1, n, 3 * n):
+            both = rng.integers(-(1 << 62), 1 << 62, min(n, m) // 2)
+            a, b = (np.unique(np.concatenate((both, rng.integers(-(1 << 62), 1 << 62, k - len(both))))) for k in (n, m))
+            assert near_copies.least_difference(near_copies.sketch(a), near_copies.sketch(b)) <= len(np.setxor1d(a, b))
+            assert near_copies.least_difference(near_copies.sketch(a), near_copies.sketch(a)) == 0
+    far = [near_copies.sketch(rng.integers(-(1 << 62), 1 << 62, 1000)) for _ in range(2)]
+    assert near_copies.least_difference(*far) > 2000 / 9  # such a pair is not verified
+
+
 def test_keeps_one(docs, none):
     kept = near_copies.keep_one(docs)
     assert kept.columns == docs.columns
