@@ -108,7 +108,7 @@ def build(vectors: np.ndarray, leaf: int = LEAF, least_radius: float = 0.0) -> C
     return CoverTree(vectors, rows, *(np.array(x) for x in (centre, radius, start, stop, first, last)))
 
 
-def _spans(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spans(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of the ranges one after the other, and the range of each."""
     size = high - low
     of = np.repeat(np.arange(len(size)), size)
@@ -181,9 +181,9 @@ class DualTraversal:
                 continue
             i, j, ox, oy = x[part], y[part], open_x[part], open_y[part]
             once = (i == j) & self.same  # of the children of one node each pair once
-            i, of = _spans(np.where(ox, self.x.first[i], i), np.where(ox, self.x.last[i], i + 1))
+            i, of = spans(np.where(ox, self.x.first[i], i), np.where(ox, self.x.last[i], i + 1))
             j, oy, once = j[of], oy[of], once[of]
-            j, of = _spans(np.where(oy, self.y.first[j], j), np.where(oy, self.y.last[j], j + 1))
+            j, of = spans(np.where(oy, self.y.first[j], j), np.where(oy, self.y.last[j], j + 1))
             i = i[of]
             keep = ~once[of] | (i <= j)
             stack.append((i[keep], j[keep]))
@@ -233,10 +233,10 @@ class DualTraversal:
         for part in np.split(np.arange(len(x)), np.flatnonzero(np.diff(np.cumsum(many) // PAIRS_AT_ONCE)) + 1):
             if not len(part):
                 continue
-            p, of = _spans(self.x.start[x[part]], self.x.stop[x[part]])
+            p, of = spans(self.x.start[x[part]], self.x.stop[x[part]])
             leaf = y[part][of]
             own = x[part][of]
-            q, of = _spans(self.y.start[leaf], self.y.stop[leaf])
+            q, of = spans(self.y.start[leaf], self.y.stop[leaf])
             p, q, twice = self.x.rows[p[of]], self.y.rows[q], (own == leaf)[of]
             if self.same:
                 keep = ~twice | (p < q)  # within a leaf each pair once

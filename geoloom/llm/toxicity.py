@@ -1,18 +1,25 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine.
 
-Features are words and the beginnings of longer words. The vocabulary is the features that
-go with toxic labels beyond chance, by chi-squared over the labelled examples; document
-frequencies are counted over all documents. The examples are indexed by an inverted index
-in blocks: for each feature and block the largest weight is kept, so that a query bounds
-every block, visits blocks in order of their bounds, and stops where no block can change
-its k nearest examples. The search is exact. Votes are weighted by similarity and by how
-many labelled rows of its class an example stands for, which calibrates scores although
-examples are a bounded sample with equal bounds on both classes.
+Every word of a text is a feature. A word weighs (1 + log of its count) times its inverse
+document frequency, counted over all documents, times FLOOR plus the share of the labels'
+entropy that it explains among the labelled examples, so that words that go with a label lead
+the search and no word is left out. Words that no example has weigh as words of no document
+at the floor; they can match nothing and count in a text's length only.
+
+The examples are indexed by an inverted index in blocks: for each word and block the largest
+weight is kept, so that a query bounds every block, visits blocks in order of their bounds,
+and stops where no block can change its k nearest examples. The search is exact. Votes are
+weighted by squared similarity and by how many labelled rows of its class an example stands
+for. Examples of a text's own content (equal words and counts) have no vote, so that a score
+is never the memory of a label and the examples' own votes can calibrate scores: an isotonic
+curve maps votes to the share of toxic rows among examples with such votes.
 
 Defined results
-* null, empty or any text without a feature: the share of toxic rows among labelled texts
-  without a feature, no evidence.
-* equal similarities: the example with the smaller id of the sample's order comes first.
+* null, empty or any text without a word: the share of toxic rows among labelled texts
+  without a word (of all labelled texts, if there are none), no evidence. A text that shares
+  no word with another example: the share of all.
+* very long text: read whole.
+* ties: of equal similarities the example with the smaller id comes first.
 * rows without id: scored, never examples. Repeated rows: one result row each.
 * repeated or conflicting labels of an id: toxic if any says so. Null labels: unlabelled.
 * no labelled examples of either class: score 0 everywhere. Empty table: empty result.
@@ -32,85 +39,73 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .cover_tree import spans
 from .storage import discard, quoted, stash
 
 #: The bound on labelled rows of each class that become examples.
 EXAMPLES = 4000
-#: The bound on the vocabulary, and the least chi-squared, documents and share of toxic
-#: rows (weighted as the classes occur) of a feature.
-VOCABULARY, LEAST_CHI2, LEAST_DOCS, LEAST_SHARE = 4096, 12.0, 3, 0.55
-#: Beginnings of words that are features, in letters.
-BEGINNINGS = range(3, 9)
+#: What a word weighs that tells nothing, beside the share of the labels' entropy.
+FLOOR = 0.001
 NEIGHBOURS, BLOCK = 15, 64
-#: Weight of the base rate in a vote, against one of similarity 1.
+#: Weight of the base rate in a vote, against one of typical similarity.
 PRIOR_WEIGHT = 0.2
-#: Pieces of text and queries that a worker remembers.
-CACHE_PIECES, CACHE_SCORES = 400_000, 200_000
+#: From this cosine on an example has a text's own content.
+SAME = 1 - 1e-9
+#: Rows of documents that are put out at once.
+ROWS = 1024
 
 _WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
-def word_features(word: str) -> list[str]:
-    """A lower-case word and, of longer ones, its beginnings."""
-    return [word, *(f"{word[:n]}-" for n in BEGINNINGS if len(word) > n)]
+def text_words(text: str) -> Counter:
+    """How often each lower-case word occurs."""
+    return Counter(_WORDS.findall(text.lower()))
 
 
-def piece_features(piece: str) -> list[str]:
-    return [f for w in _WORDS.findall(piece.lower()) for f in word_features(w)]
-
-
-def text_features(text: str) -> Counter:
-    """How often each feature occurs."""
-    found: Counter = Counter()
-    for piece, n in Counter(text.split()).items():
-        for f in piece_features(piece):
-            found[f] += n
-    return found
-
-
-def unit(ids: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    weights = (1 + np.log(counts)) * idf[ids]
-    return weights / np.sqrt((weights**2).sum())
-
-
-@dataclass
-class Example:
-    doc_id: int
-    toxic: int
-    ids: np.ndarray
-    counts: np.ndarray
-    stands_for: float
+def explained(toxic: np.ndarray, clean: np.ndarray, all_toxic: int, all_clean: int) -> np.ndarray:
+    """The share of the labels' entropy that the presence of each word explains, from the
+    numbers of toxic and clean examples that have it."""
+    n = all_toxic + all_clean
+    have, lack = toxic + clean, n - toxic - clean
+    gain = np.zeros(len(toxic))
+    for joint, of_word, of_label in ((toxic, have, all_toxic), (clean, have, all_clean), (all_toxic - toxic, lack, all_toxic), (all_clean - clean, lack, all_clean)):
+        expected = of_word * (of_label / n)
+        at = joint > 0
+        gain[at] += joint[at] / n * np.log(joint[at] / expected[at])
+    entropy = -sum(x / n * math.log(x / n) for x in (all_toxic, all_clean))
+    return np.maximum(gain, 0.0) / entropy
 
 
 class BlockMaxIndex:
-    """Exact cosine search over unit vectors, in blocks of BLOCK examples."""
+    """Exact cosine search over unit vectors, in blocks of BLOCK examples that share their
+    heaviest word where they can."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], features: int):
         self.n = len(vectors)
-        self.blocks = -(-self.n // BLOCK)
-        rows = np.repeat(np.arange(self.n), [len(ids) for ids, _ in vectors]) if vectors else np.zeros(0, np.int64)
-        ids = np.concatenate([i for i, _ in vectors]) if vectors else np.zeros(0, np.int64)
-        weights = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
-        order = np.lexsort((rows, ids))
-        rows, weights = rows[order], weights[order]
-        starts = np.searchsorted(ids[order], np.arange(features + 1)).tolist()
-        #: of each feature: its examples in order, their weights, its blocks and the largest weight in each
-        self.postings = []
-        for s, e in zip(starts[:-1], starts[1:], strict=True):
-            block, at = np.unique(rows[s:e] // BLOCK, return_index=True)
-            self.postings.append((rows[s:e], weights[s:e], block, np.maximum.reduceat(weights[s:e], at) if e > s else np.zeros(0)))
-
-    def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
-        """The k examples of largest cosine above 0, nearest first, ties by order. Blocks are
-        visited in order of their bounds, in waves that double, until no block is left whose
-        bound reaches the k-th cosine so far."""
-        bound = np.zeros(self.blocks)
-        lists = [(self.postings[f], w) for f, w in zip(ids.tolist(), weights.tolist(), strict=True)]
-        for (_, _, block, largest), w in lists:
-            bound[block] += w * largest
-        rows = np.concatenate([x[0] for x, _ in lists])
-        shares = np.concatenate([w * x[1] for x, w in lists])
-        of_block = rows // BLOCK
+        self.blocks = max(1, -(-self.n // BLOCK))
+        heaviest = [int(ids[np.argmax(w)]) if len(ids) else -1 for ids, w in vectors]
+        #: the example at each place, places being what postings tell
+        self.example = np.argsort(np.array(heaviest, np.int64), kind="stable")
+        ids = np.concatenate([vectors[i][0] for i in self.example] or [np.zeros(0, np.int64)])
+        weights = np.concatenate([vectors[i][1] for i in self.example] or [np.zeros(0)])
+        places = np.repeat(np.arange(self.n), [len(vectors[i][0]) for i in self.example])
+        order = np.lexsort((places, ids))
+        ids, self.places, self.weights = ids[order], places[order].astype(np.int32), weights[order]
+        # an entry for each word and block: where its postings are, and their largest weight
+        cell = ids * self.blocks + self.places // BLOCK
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.start, self.stop = first, np.append(first[1:], len(cell))
+        self.block = (cell[first] % self.blocks).astype(np.int32)
+        self.largest = np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0)
+        self.entries = np.searchsorted(ids[first], np.arange(features + 1))
+
+    def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, same: float = math.inf) -> list[tuple[float, int]]:
+        """The k examples of largest cosine above 0 and below ``same``, nearest first, ties by
+        number. Blocks are visited in order of their bounds, in waves that double, until no
+        block is left whose bound reaches the k-th cosine so far."""
+        entry, of = spans(self.entries[ids], self.entries[ids + 1])
+        weight, block = weights[of], self.block[entry]
+        bound = np.bincount(block, weight * self.largest[entry], minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
         best: list[tuple[float, int]] = []  # (-cosine, example), sorted
         at, wave = 0, 4
@@ -123,23 +118,40 @@ class BlockMaxIndex:
                 break
             chosen = np.zeros(self.blocks, bool)
             chosen[now] = True
-            take = chosen[of_block]
-            sums = np.round(np.bincount(rows[take], shares[take], minlength=self.n), 12)
-            found = np.flatnonzero(sums > 0)
+            take = np.flatnonzero(chosen[block])
+            posting, of = spans(self.start[entry[take]], self.stop[entry[take]])
+            sums = np.round(np.bincount(self.places[posting], weight[take][of] * self.weights[posting], minlength=self.n), 12)
+            found = np.flatnonzero((sums > 0) & (sums < same))
             if len(found) > k:  # all that tie with the k-th stay
                 found = found[sums[found] >= np.partition(sums[found], -k)[-k]]
-            best = sorted(best + list(zip((-sums[found]).tolist(), found.tolist(), strict=True)))[:k]
+            best = sorted(best + list(zip((-sums[found]).tolist(), self.example[found].tolist(), strict=True)))[:k]
             at, wave = at + wave, 2 * wave
         return [(-c, j) for c, j in best]
 
 
+def isotonic(votes: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rising curve next to the labels: votes, and shares of toxic rows, to be interpolated."""
+    order = np.argsort(votes, kind="stable")
+    pools: list[list[float]] = []
+    for v, y, w in zip(votes[order].tolist(), toxic[order].tolist(), weights[order].tolist(), strict=True):
+        pools.append([v * w, y * w, w])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last, strict=True)]
+    return np.array([p[0] / p[2] for p in pools]), np.array([p[1] / p[2] for p in pools])
+
+
 @dataclass
 class Model:
-    """The vocabulary, document frequencies and examples: all bounded by parameters."""
+    """Weights of words and the examples; EXAMPLES texts of a class bound them."""
 
-    vocabulary: dict[str, int]
-    idf: np.ndarray
-    examples: list[Example]
+    word_weight: np.ndarray
+    unknown_weight: float
+    doc_ids: np.ndarray
+    toxic: np.ndarray
+    stands_for: np.ndarray
+    words: list[tuple[np.ndarray, np.ndarray]]
+    curve: tuple[np.ndarray, np.ndarray] | None = None
 
     def build(self) -> Scorer:
         return Scorer(self)
@@ -148,29 +160,35 @@ class Model:
 class Scorer:
     def __init__(self, model: Model):
         self.model = model
-        self.with_features = [e for e in model.examples if len(e.ids)]
-        self.index = BlockMaxIndex([(e.ids, unit(e.ids, e.counts, model.idf)) for e in self.with_features], len(model.vocabulary))
-        rate = lambda es: sum(e.stands_for * e.toxic for e in es) / (sum(e.stands_for for e in es) or 1.0)
-        bare = [e for e in model.examples if not len(e.ids)]
-        self.base = rate(model.examples)
-        self.bare = rate(bare) if bare else self.base
-        self.known: dict[bytes, tuple[float, list[int]]] = {}
-
-    def score(self, ids: np.ndarray, counts: np.ndarray) -> tuple[float, list[int]]:
+        self.full = np.array([i for i, (ids, _) in enumerate(model.words) if len(ids)], np.int64)
+        self.index = BlockMaxIndex([(model.words[i][0], self.unit(*model.words[i])) for i in self.full], len(model.word_weight))
+        rate = lambda at: float((model.stands_for * model.toxic)[at].sum() / (model.stands_for[at].sum() or 1.0))
+        bare = np.setdiff1d(np.arange(len(model.words)), self.full)
+        self.base = rate(slice(None))
+        self.bare = rate(bare) if len(bare) else self.base
+
+    def unit(self, ids: np.ndarray, counts: np.ndarray, unknown: float = 0.0) -> np.ndarray:
+        """Weights of known words in the unit vector; ``unknown``: the squares of 1 + log of
+        the counts of the others, added up."""
+        weights = (1 + np.log(counts)) * self.model.word_weight[ids]
+        return weights / math.sqrt(float((weights**2).sum()) + unknown * self.model.unknown_weight**2)
+
+    def vote(self, ids: np.ndarray, counts: np.ndarray, unknown: float = 0.0) -> tuple[float | None, list[int]]:
+        """The vote of the nearest examples (None without any), and their doc_ids."""
+        near = self.index.nearest(ids, self.unit(ids, counts, unknown), same=SAME) if len(ids) else []
+        if not near:
+            return None, []
+        cosine, at = np.array([c for c, _ in near]), self.full[[j for _, j in near]]
+        weight = cosine**2 * self.model.stands_for[at]
+        prior = PRIOR_WEIGHT * weight.sum() / len(near)
+        return float(((weight * self.model.toxic[at]).sum() + prior * self.base) / (weight.sum() + prior)), self.model.doc_ids[at].tolist()
+
+    def score(self, ids: np.ndarray, counts: np.ndarray, unknown: float = 0.0) -> tuple[float, list[int]]:
         """The score, and the doc_ids of the nearest examples."""
-        if not len(ids):
+        if not len(ids) and not unknown:
             return self.bare, []
-        key = ids.tobytes() + counts.tobytes()
-        if key not in self.known:
-            if len(self.known) > CACHE_SCORES:
-                self.known.clear()
-            near = [(c, self.with_features[j]) for c, j in self.index.nearest(ids, unit(ids, counts, self.model.idf))]
-            mass = sum(c * c * e.stands_for for c, e in near)
-            votes = sum(c * c * e.stands_for * e.toxic for c, e in near)
-            typical = mass / sum(c * c for c, _ in near) if near else 1.0
-            prior = PRIOR_WEIGHT * typical
-            self.known[key] = ((votes + prior * self.base) / (mass + prior), [e.doc_id for _, e in near])
-        return self.known[key]
+        vote, evidence = self.vote(ids, counts, unknown)
+        return self.base if vote is None else float(np.interp(vote, *self.model.curve)), evidence
 
 
 def held_out(doc_id) -> F.Column:
@@ -178,106 +196,135 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _features_of(rows: DataFrame) -> DataFrame:
-    """``rows`` of (doc_id, toxic, text) as (doc_id, toxic, features, counts)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [text_features((t.as_py() or b"").decode("utf-8", "replace")) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([list(f) for f in found], pa.list_(pa.string())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))], ["doc_id", "toxic", "features", "counts"])
-
-    return rows.mapInArrow(run, "doc_id long, toxic int, features array<string>, counts array<int>")
-
-
-def _known_only(found: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
-    """Features as numbers of the vocabulary, without others."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [[(vocabulary[f], n) for f, n in zip(fs, ns, strict=True) if f in vocabulary] for fs, ns in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([[i for i, _ in x] for x in kept], pa.list_(pa.int64())), pa.array([[n for _, n in x] for x in kept], pa.list_(pa.int64()))], ["doc_id", "toxic", "ids", "counts"])
-
-    return found.mapInArrow(run, "doc_id long, toxic int, ids array<bigint>, counts array<bigint>")
-
-
 def _slim(docs: DataFrame) -> DataFrame:
     return docs.select(quoted("doc_id").cast("long").alias("doc_id"), quoted("text").cast("binary").alias("text"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple[dict[str, int], list[Example]]:
-    """The vocabulary and the examples, from at most ``examples`` labelled rows of a class
-    that are not held out, drawn by a digest of the id."""
-    spark = docs.sparkSession
+def draw_examples(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple[DataFrame, dict[int, float], list[str]]:
+    """``doc_id, toxic, words, counts`` of at most ``examples`` labelled rows of a class that
+    are not held out, drawn by a digest of the id (stored), how many labelled rows one of each
+    class stands for, and the paths of what is stored."""
     learnt = labels.select(quoted("doc_id").cast("long").alias("doc_id"), quoted("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null")
     learnt = learnt.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    learnt = learnt.select("doc_id", (F.col("toxic") == 1).cast("int").alias("toxic"))
-    learnt, learnt_path = stash(learnt, "learnt-labels")
+    learnt = learnt.join(docs.select(quoted("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
+    learnt, learnt_path = stash(learnt.select("doc_id", (F.col("toxic") == 1).cast("int").alias("toxic")), "learnt-labels")
     sizes = {r.toxic: r.n for r in learnt.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     drawn = [learnt.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples) for t in (0, 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [text_words((t.as_py() or b"").decode("utf-8", "replace")) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([list(f) for f in found], pa.list_(pa.string())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))], ["doc_id", "toxic", "words", "counts"])
+
     # at most twice ``examples`` ids, which bounds this broadcast
     texts = _slim(docs).join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id").select("doc_id", "toxic", "text")
-    found, found_path = stash(_features_of(texts), "example-features")
+    found, found_path = stash(texts.mapInArrow(run, "doc_id long, toxic int, words array<string>, counts array<int>"), "example-words")
     totals = {r.toxic: r.n for r in found.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(totals) < 2:
-        discard(spark, learnt_path, found_path)
-        return {}, []
-    n1, n0 = totals[1], totals[0]
-    counted = found.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
-    a, b = F.col("a"), F.col("b")
-    c, d = n1 - a, n0 - b
-    chi2 = (n0 + n1) * (a * d - b * c) ** 2 / (F.lit(float(n1)) * n0 * (a + b) * F.greatest(c + d, F.lit(1.0)))
-    weight = {t: sizes[t] / totals[t] for t in totals}
-    share = a * weight[1] / (a * weight[1] + b * weight[0])
-    picked = counted.filter((a + b >= LEAST_DOCS) & (share >= LEAST_SHARE)).select("f", chi2.alias("chi2")).filter(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "f").limit(VOCABULARY)
-    vocabulary = {f: i for i, f in enumerate(sorted(r.f for r in picked.collect()))}
-    out = []
-    for r in _known_only(found, vocabulary).orderBy("doc_id").collect():  # twice ``examples`` rows at most
-        order = np.argsort(r.ids)
-        out.append(Example(r.doc_id, r.toxic, np.array(r.ids, np.int64)[order], np.array(r.counts, np.int64)[order], weight[r.toxic]))
-    discard(spark, learnt_path, found_path)
-    return vocabulary, out
-
-
-def features(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
-    """``doc_id, ids, counts``: the features of the vocabulary in every whole text."""
-    packed = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    return found, {t: sizes[t] / n for t, n in totals.items()}, [learnt_path, found_path]
+
+
+def numbered(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """``doc_id, ids, counts, unknown``: the words of the vocabulary in every whole text, in
+    order of their numbers, and what its other words add to its length (Scorer.unit)."""
+    packed = docs.sparkSession.sparkContext.broadcast("\n".join(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, none = packed.value, ()
-        known: dict[str, tuple[int, ...]] = {}
+        number = {w: i for i, w in enumerate(packed.value.split("\n"))} if packed.value else {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part, ids, counts, unknown = batch.slice(at, ROWS), [], [], []
+                for text in part.column(1):
+                    known, rest = {}, 0.0
+                    for word, n in text_words((text.as_py() or b"").decode("utf-8", "replace")).items():
+                        i = number.get(word)
+                        if i is None:
+                            rest += (1 + math.log(n)) ** 2
+                        else:
+                            known[i] = n
+                    order = sorted(known)
+                    ids.append(order)
+                    counts.append([known[i] for i in order])
+                    unknown.append(rest)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32())), pa.array(unknown, pa.float64())], ["doc_id", "ids", "counts", "unknown"])
+
+    return _slim(docs).mapInArrow(run, "doc_id long, ids array<int>, counts array<int>, unknown double")
+
+
+def _document_frequency(found: DataFrame, words: int) -> np.ndarray:
+    """Of each word of the vocabulary, over all documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(words, np.int64)
         for batch in batches:
-            all_ids, all_counts = [], []
-            for text in batch.column(1):
-                pieces = (text.as_py() or b"").decode("utf-8", "replace").split()
-                if len(known) > CACHE_PIECES:
-                    known.clear()
-                for p in [p for p in set(pieces) if p not in known]:
-                    known[p] = tuple(of[f] for f in piece_features(p) if f in of) or none
-                hits = Counter([i for ids in map(known.__getitem__, pieces) if ids for i in ids])
-                ids = sorted(hits)
-                all_ids.append(ids)
-                all_counts.append([hits[i] for i in ids])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(all_ids, pa.list_(pa.int64())), pa.array(all_counts, pa.list_(pa.int64()))], ["doc_id", "ids", "counts"])
-
-    return _slim(docs).mapInArrow(run, "doc_id long, ids array<bigint>, counts array<bigint>")
+            total += np.bincount(batch.column(0).flatten().to_numpy(), minlength=words)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["i", "n"])
+
+    out = np.zeros(words, np.int64)
+    summed = found.select("ids").mapInArrow(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()  # a row for each word of the vocabulary
+    out[summed.column(0).to_numpy()] = summed.column(1).to_numpy()
+    return out
+
+
+def _rows(batch: pa.RecordBatch, ids: int, counts: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The lists of numbers and counts of each row, as arrays."""
+    for i, c in zip(batch.column(ids), batch.column(counts), strict=True):
+        yield i.values.to_numpy().astype(np.int64), c.values.to_numpy().astype(np.float64)
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, examples: int = EXAMPLES) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence (the
     doc_ids of its nearest examples)."""
-    vocabulary, chosen = fit(docs, labels, examples)
-    found, _ = stash(features(docs, vocabulary), "features")
+    spark = docs.sparkSession
+    drawn, weight, paths = draw_examples(docs, labels, examples)
+    if len(weight) < 2:
+        discard(spark, *paths)
+        none = docs.select(quoted("doc_id").cast("long").alias("doc_id"))
+        return none.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.array().cast("array<bigint>").alias("evidence"))
+    # the words of the examples, whose number and whole texts bound this
+    counted = drawn.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).orderBy("word").toArrow()
+    vocabulary = counted.column(0).to_pylist()
+    given = drawn.orderBy("doc_id").toArrow().to_batches()
+    number = {w: i for i, w in enumerate(vocabulary)}
+    doc_ids, toxic = (np.concatenate([b.column(i).to_numpy() for b in given]) for i in (0, 1))
+    words = []
+    for b in given:
+        for w, c in zip(b.column(2), b.column(3), strict=True):
+            ids = np.array([number[x] for x in w.as_py()], np.int64)
+            order = np.argsort(ids)
+            words.append((ids[order], c.values.to_numpy().astype(np.float64)[order]))
+    del number, given
+
+    found, _ = stash(numbered(docs, vocabulary), "numbered-words")
     total = found.count()
-    df = np.zeros(len(vocabulary))
-    for r in found.select(F.explode("ids").alias("i")).groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect():  # VOCABULARY rows at most
-        df[r.i] = r.n
-    idf = np.array([math.log((1 + total) / (1 + n)) + 1 for n in df])
-    model = docs.sparkSession.sparkContext.broadcast(Model(vocabulary, idf, chosen))
+    idf = np.log((1 + total) / (1 + _document_frequency(found, len(vocabulary)))) + 1
+    share = explained(counted.column(1).to_numpy().astype(np.float64), counted.column(2).to_numpy().astype(np.float64), int(toxic.sum()), int((1 - toxic).sum()))
+    model = Model((FLOOR + share) * idf, FLOOR * (math.log(1 + total) + 1), doc_ids, toxic.astype(np.float64), np.array([weight[t] for t in toxic.tolist()]), words)
+
+    # the examples' own votes, without what has their content, calibrate
+    first = spark.sparkContext.broadcast(model)
+
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = None
+        for batch in batches:
+            scorer = scorer or first.value.build()
+            made = [scorer.vote(*first.value.words[i])[0] for i in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.float64())], ["i", "vote"])
+
+    tasks = spark.sparkContext.defaultParallelism
+    own = spark.range(0, len(words), 1, tasks).toDF("i").mapInArrow(votes, "i long, vote double").filter("vote is not null").toArrow()  # a row for each example
+    at = own.column(0).to_numpy()
+    order = np.argsort(at)
+    at, vote = at[order], own.column(1).to_numpy()[order]
+    model.curve = isotonic(vote, model.toxic[at], model.stands_for[at]) if len(at) else (np.zeros(1), np.zeros(1))
+    shared = spark.sparkContext.broadcast(model)
+    discard(spark, *paths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = model.value.build()
+        scorer = None
         for batch in batches:
-            made = [scorer.score(np.array(i, np.int64), np.array(c, np.int64)) for i, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            scorer = scorer or shared.value.build()
+            made = [scorer.score(i, c, u) for (i, c), u in zip(_rows(batch, 1, 2), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s for s, _ in made], pa.float64()), pa.array([e for _, e in made], pa.list_(pa.int64()))], ["doc_id", "score", "evidence"])
 
     scored = found.mapInArrow(run, "doc_id long, score double, evidence array<bigint>")

@@ -170,11 +170,88 @@ def test_block_max_index_is_exact():
     for q in range(200):
         ids, w = vectors[q] if q % 2 else (lambda k: (np.sort(rng.choice(features, k, replace=False)), np.ones(k) / np.sqrt(k)))(rng.integers(1, 7))
         sims = np.round(dense[:, ids] @ w, 12)
-        want = sorted((-s, i) for i, s in enumerate(sims) if s > 0)[: toxicity.NEIGHBOURS]
-        assert [i for _, i in index.nearest(ids, w)] == [i for _, i in want]
+        for same in (float("inf"), toxicity.SAME):
+            want = sorted((-s, i) for i, s in enumerate(sims) if 0 < s < same)[: toxicity.NEIGHBOURS]
+            assert [i for _, i in index.nearest(ids, w, same=same)] == [i for _, i in want]
     assert toxicity.BlockMaxIndex([], 3).nearest(np.array([1]), np.array([1.0])) == []
 
 
+def test_isotonic():
+    x, y = toxicity.isotonic(np.array([0.1, 0.2, 0.3, 0.4, 0.9]), np.array([0, 1.0, 0, 1, 1]), np.array([1, 1, 3, 1, 1.0]))
+    assert y.tolist() == [0, 0.25, 1] and x == pytest.approx([0.1, 0.275, 0.65])
+
+
+def scores_by_force(rows, labels):
+    """The whole score with dictionaries: words, weights, all cosines, votes, calibration."""
+    import math
+    import re
+    import zlib
+    from collections import Counter
+
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    words = [Counter(re.findall(r"[^\W\d_]+", (t or "").lower())) for _, t in rows]
+    df = Counter(w for c in words for w in c)
+    toxic = {}
+    for i, t in labels:
+        if i is not None and t is not None and not held(i):
+            toxic[i] = max(t, toxic.get(i, 0))
+    examples = sorted((i, toxic[i], c) for (i, _), c in zip(rows, words, strict=True) if i in toxic)
+    n, n1 = len(examples), sum(t for _, t, _ in examples)
+
+    def share(word):
+        """Entropy of the label less that which is left when the word's presence is known."""
+        h = lambda p: sum(-x * math.log(x) for x in (p, 1 - p) if x > 0)
+        have = [t for _, t, c in examples if word in c]
+        lack = n - len(have)
+        left = len(have) / n * h(sum(have) / len(have)) + (lack / n * h((n1 - sum(have)) / lack) if lack else 0)
+        return (h(n1 / n) - left) / h(n1 / n)
+
+    weight = {w: (toxicity.FLOOR + share(w)) * (math.log((1 + len(rows)) / (1 + df[w])) + 1) for w in {w for *_, c in examples for w in c}}
+    unknown = toxicity.FLOOR * (math.log(1 + len(rows)) + 1)
+
+    def vector(c):
+        v = {w: (1 + math.log(k)) * weight.get(w, unknown) for w, k in c.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    vectors = [vector(c) for *_, c in examples]
+    base = n1 / n
+
+    def vote(c):
+        v = vector(c)
+        near = [(round(sum(x * e.get(w, 0.0) for w, x in v.items()), 12), -k) for k, e in enumerate(vectors)]
+        near = sorted((x for x in near if 0 < x[0] < toxicity.SAME), reverse=True)[: toxicity.NEIGHBOURS]
+        if not near:
+            return None
+        mass = sum(s * s for s, _ in near)
+        prior = toxicity.PRIOR_WEIGHT * mass / len(near)
+        return (sum(s * s * examples[-k][1] for s, k in near) + prior * base) / (mass + prior)
+
+    own = [(v, t) for v, t in ((vote(c), t) for _, t, c in examples) if v is not None]
+    curve = toxicity.isotonic(np.array([v for v, _ in own]), np.array([float(t) for _, t in own]), np.ones(len(own)))
+    bare = [t for _, t, c in examples if not c]
+    out = []
+    for c in words:
+        v = vote(c) if c else None
+        out.append(float(np.interp(v, *curve)) if v is not None else base if c else sum(bare) / len(bare) if bare else base)
+    return out
+
+
+def test_toxicity_matches_brute_force(spark):
+    rng = random.Random(11)
+    rows, labels = [], []
+    for i in range(150):
+        words = text(rng, rng.choice(list(WORDS)), rng.randint(1, 25)).split() + ["vile"] * (i % 4 == 0) + ["mean"] * rng.randint(0, 1)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0 and rng.random() < 0.9)))
+    rows += [(200, None), (201, "12 !"), (202, "zyx"), (203, rows[4][1]), (204, rows[8][1])]
+    labels += [(201, 0), (203, 1), (77777, 1), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    want = scores_by_force(rows, labels)
+    assert {i: pytest.approx(s, abs=1e-9) for (i, _), s in zip(rows, want, strict=True)} == got
+
+
 def test_toxicity(spark):
     rng = random.Random(6)
     bad = ["vilethou", "grimwort", "foulmere"]
