@@ -9,11 +9,14 @@ when their rank comes up. In the vocabulary no merge makes a pair of a lower ran
 this order gives every word what merging it alone would (checked when a file is loaded).
 
 A text is cut at spaces and line feeds, which no token spans, and the pieces are looked up
-in a bounded cache; only unknown pieces are normalised, split and encoded.
+in a cache of bounded bytes; only unknown pieces are normalised, split and encoded.
 
 Defined results
 * null or empty text, or one of white space only: no ids, an empty decoded text.
 * bytes that are not UTF-8 count as U+FFFD.
+* very long text: encoded whole, a text longer than BLOCK_BYTES as a block of its own; a text
+  without spaces is one piece and is not remembered.
+* ties: pairs of one rank are merged from the left.
 * null ids and repeated rows: one result row each. Other columns are ignored.
 * empty table: empty result.
 """
@@ -35,8 +38,10 @@ from pyspark.sql import DataFrame
 
 from .storage import quoted
 
-#: Pieces of text whose encodings a worker remembers, in each of two generations.
-CACHE_PIECES = 400_000
+#: Bytes of pieces of text and their encodings that a worker remembers, in each of two
+#: generations, counting PIECE_BYTES for each piece beside its characters; pieces of more
+#: characters than LONG_PIECE are not remembered.
+CACHE_BYTES, PIECE_BYTES, LONG_PIECE = 40 << 20, 200, 64
 #: Bytes of text that are looked up at once.
 BLOCK_BYTES = 16 << 20
 #: The words of the tokenizer's pre-tokenizer.
@@ -208,10 +213,10 @@ def encoder(path: str) -> PairIndexEncoder:
 class PieceCache:
     """What ``make`` gives for each piece of text. ``make`` gets the ids of many pieces one
     after the other and their ends. The pieces of the last blocks are remembered, in two
-    generations of CACHE_PIECES: one is forgotten when the other is full."""
+    generations of CACHE_BYTES: one is forgotten when the other is full."""
 
     def __init__(self, path: str, make: Callable[[np.ndarray, np.ndarray], list]):
-        self.encoder, self.make, self.known, self.older = encoder(path), make, {}, {}
+        self.encoder, self.make, self.known, self.older, self.long, self.size = encoder(path), make, {}, {}, {}, 0
 
     @staticmethod
     def pieces(text: str) -> list[str]:
@@ -219,8 +224,9 @@ class PieceCache:
 
     def learn(self, texts: Iterable[str]) -> None:
         """Have all pieces of the texts known, at least until the next call."""
-        if len(self.known) > CACHE_PIECES:
-            self.known, self.older = {}, self.known
+        if self.size > CACHE_BYTES:
+            self.known, self.older, self.size = {}, self.known, 0
+        self.long = {}
         needed: set[str] = set()
         for text in texts:
             needed.update(self.pieces(text))
@@ -229,14 +235,21 @@ class PieceCache:
             if p not in known:
                 if p in older:
                     known[p] = older[p]
+                    self.size += PIECE_BYTES + len(p)
                 else:
                     new.append(p)
         if new:
-            known.update(zip(new, self.make(*self.encoder.encode_pieces(new)), strict=True))
+            for p, made in zip(new, self.make(*self.encoder.encode_pieces(new)), strict=True):
+                if len(p) > LONG_PIECE:
+                    self.long[p] = made
+                else:
+                    known[p] = made
+                    self.size += PIECE_BYTES + len(p)
 
     def of(self, text: str) -> list:
         """What is known of the text's pieces, in order."""
-        return list(map(self.known.__getitem__, self.pieces(text)))
+        known, long = self.known, self.long
+        return [known[p] if p in known else long[p] for p in self.pieces(text)] if long else list(map(known.__getitem__, self.pieces(text)))
 
 
 _caches: dict[tuple[str, str], PieceCache] = {}

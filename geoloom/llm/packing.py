@@ -10,6 +10,8 @@ padding. There is no exchange of texts or of packed pieces; only the open window
 
 Defined results
 * null or empty text: the end-of-document id alone.
+* very long text: fills whole sequences first, its rest is placed like a short one.
+* ties: of windows with equal room the one opened first is taken.
 * null id: packed like others, with a null id in its pieces.
 * repeated rows: each is packed. Other columns are ignored.
 * empty table: empty result.
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
-from .storage import quoted, stash
+from .storage import quoted, release_memory, stash
 
 #: Partitions whose open windows are merged by one task.
 MERGED_PARTITIONS = 64
@@ -128,6 +130,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         left = [(d, s, len(ids) // 4, None, total, None, None, ids, task) for key in sorted(packer.open) for d, s, ids, total in packer.open[key]]
         packer.rows = left
         yield packer.take()
+        release_memory()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a task may get several groups, one after the other

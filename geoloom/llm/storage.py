@@ -7,12 +7,16 @@ it then gets a folder of its own, removed when the driver ends.
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
+import xxhash
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,24 +80,39 @@ def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-#: Bits of a row's number within its file.
-ROW_BITS = 40
+#: Bits of a row's number within its file, and of its file's number; seeds that are tried.
+ROW_BITS, FILE_BITS, SEEDS = 28, 35, 64
 
 
 def _file_rows(docs: DataFrame, key: str) -> DataFrame | None:
-    """``docs`` with a number made of file and row, or None where they come from no files."""
+    """``docs`` with a number made of a digest of the file's path and the row's place there, or
+    None where they come from no files. The digest's seed is one that tells all paths apart."""
     if "_metadata" in {c.lower() for c in docs.columns}:
         return None
-    path, place = spare(docs.columns, "file_path"), spare(docs.columns, "file_row")
+    path = F.col("_metadata.file_path")
     try:
-        placed = docs.select(*[quoted(c) for c in docs.columns], F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place))
+        # no columns are read; the planner lists the files on the driver anyway
+        paths = [r[0] for r in docs.select(path).distinct().collect()]
     except AnalysisException:
         return None
-    # one path for each input file, which the planner lists on the driver anyway
-    paths = sorted(r[0] for r in placed.select(path).distinct().collect())
-    files = docs.sparkSession.createDataFrame(list(enumerate(paths)), f"file_no long, `{path}` string")
-    number = F.shiftleft("file_no", ROW_BITS) + F.col(place)
-    return placed.join(F.broadcast(files), path).select(*[quoted(c) for c in docs.columns], number.alias(key))
+    digest = lambda p, seed: xxhash.xxh64_intdigest(f"{p}#{seed}".encode(), 42) >> 64 - FILE_BITS  # noqa: E731  (Spark's xxhash64)
+    seed = next((s for s in range(SEEDS) if len({digest(p, s) for p in paths}) == len(paths)), None)
+    if seed is None:
+        return None
+    number = F.shiftrightunsigned(F.xxhash64(F.concat(path, F.lit(f"#{seed}"))), 64 - FILE_BITS)
+    place = F.col("_metadata.row_index")
+    inside = F.when(place < 1 << ROW_BITS, place).otherwise(F.raise_error(F.lit("a file has more rows than row keys can tell apart")).cast("long"))
+    return docs.select(*[quoted(c) for c in docs.columns], (F.shiftleft(number, ROW_BITS) + inside).alias(key))
+
+
+def release_memory() -> None:
+    """Give back what a worker no longer uses; workers live on between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def with_row_key(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
