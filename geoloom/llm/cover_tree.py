@@ -22,8 +22,9 @@ import numpy as np
 #: vectors that are compared at once, and pairs of children from which on a pair of nodes is
 #: expanded by itself.
 LEAF, NET_STEP, PAIRS_AT_ONCE, TILE = 16, 64, 1 << 17, 1 << 13
-#: What rounding may change of a distance.
-SLACK = 1e-7
+#: What rounding may change of a distance, and of a product in single precision, which serves
+#: for distances above SINGLE_FROM.
+SLACK, SINGLE, SINGLE_FROM = 1e-7, 2e-5, 0.05
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -33,30 +34,41 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _within(a: np.ndarray, b: np.ndarray, reach: np.ndarray | float) -> np.ndarray:
+    """Of all pairs of unit vectors whether they may be within ``reach``; none that is so is
+    missed. Products are taken in single precision where their error is far below the reach."""
+    if np.min(reach) > SINGLE_FROM:
+        product, allowance = a.astype(np.float32) @ b.astype(np.float32).T, SINGLE
+    else:
+        product, allowance = a @ b.T, 1e-14
+    return product >= (1 - np.minimum(reach, 2.0) ** 2 / 2 - allowance).astype(product.dtype) if isinstance(reach, np.ndarray) else product >= product.dtype.type(1 - min(reach, 2.0) ** 2 / 2 - allowance)
+
+
 def net(vectors: np.ndarray, rows: np.ndarray, radius: float) -> list[np.ndarray]:
-    """``rows`` in groups: each within ``radius`` of its first row, the first rows further apart
-    than that. The first row of all is the first of the first group."""
+    """``rows`` in groups: each within ``radius`` of its first row, but for rounding, the first
+    rows further apart than that. The first row of all is the first of the first group."""
     groups, left = [], rows
     while len(left):
         tried = left[:NET_STEP]
-        near = _distances(vectors[tried], vectors[left]) <= radius
+        near = _within(vectors[tried], vectors[left], radius)
         free = np.ones(len(left), bool)
+        alone = (near.sum(axis=1) <= 1).tolist()
         for i in range(len(tried)):
-            if free[i]:
-                near[i, i] = True
-                mine = near[i] & free
-                order = np.flatnonzero(mine)
-                groups.append(left[np.concatenate(([i], order[order != i]))])
-                free &= ~mine
+            if not free[i]:
+                continue
+            if alone[i]:
+                groups.append(left[i : i + 1])
+                free[i] = False
+                continue
+            near[i, i] = True
+            mine = near[i] & free
+            order = np.flatnonzero(mine)
+            groups.append(left[np.concatenate(([i], order[order != i]))])
+            free &= ~mine
         left = left[free]
     return groups
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Of all pairs of unit vectors."""
-    return np.sqrt(np.maximum(0.0, 2 - 2 * (a @ b.T)))
-
-
 @dataclass
 class CoverTree:
     """Nodes in the order of levels, the first is the root. ``rows`` lists the vectors so that
@@ -85,7 +97,7 @@ def build(vectors: np.ndarray, leaf: int = LEAF, least_radius: float = 0.0) -> C
     def add(at: int, group: np.ndarray, level: float) -> None:
         rows[at : at + len(group)] = group
         centre.append(group[0])
-        radius.append(float(np.linalg.norm(vectors[group] - vectors[group[0]], axis=1).max()))
+        radius.append(float(np.linalg.norm(vectors[group] - vectors[group[0]], axis=1).max()) if len(group) > 1 else 0.0)
         start.append(at)
         stop.append(at + len(group))
         levels.append(level)
@@ -119,13 +131,14 @@ class DualTraversal:
     """Links between two sets of vectors, or within one (``b`` is None). ``weights`` say how
     many equal vectors each stands for. Counts what it compared: pairs of nodes and of vectors."""
 
-    def __init__(self, a: np.ndarray, b: np.ndarray | None, threshold: float, weights_a: np.ndarray | None = None, weights_b: np.ndarray | None = None):
+    def __init__(self, a: np.ndarray | CoverTree, b: np.ndarray | None, threshold: float, weights_a: np.ndarray | None = None, weights_b: np.ndarray | None = None):
         self.same, self.threshold = b is None, threshold
         self.reach = math.sqrt(max(0.0, 2 - 2 * threshold))
         self.compared_nodes = self.compared_vectors = 0
-        self.x = build(unit(a))
+        self.x = a if isinstance(a, CoverTree) else build(unit(a))
         self.y = self.x if self.same else build(unit(b))
-        n, m = len(a), 0 if self.same else len(b)
+        self.single = [t.vectors.astype(np.float32) for t in (self.x, self.y)]
+        n, m = len(self.x.vectors), 0 if self.same else len(b)
         self.weights = np.ones(n, np.int64) if weights_a is None else weights_a, None if self.same else np.ones(m, np.int64) if weights_b is None else weights_b
         if self.same:
             self.weights = self.weights[0], self.weights[0]
@@ -189,19 +202,28 @@ class DualTraversal:
             stack.append((i[keep], j[keep]))
 
     def _push_wide(self, stack: list, i: np.ndarray, j: np.ndarray, once: bool) -> None:
-        """The pairs of many children that are not pruned, by products of matrices."""
-        a, b = self.x.vectors[self.x.centre[i]], self.y.vectors[self.y.centre[j]]
+        """The pairs of many children that are not pruned, by products of matrices. Children of
+        one vector have a bound of their own, which spares the others' sums of radii."""
         step = 1024
-        for s in range(0, len(i), step):
-            for t in range(s if once else 0, len(j), step):
-                near = _distances(a[s : s + step], b[t : t + step]) - self.x.radius[i[s : s + step], None] - self.y.radius[None, j[t : t + step]] <= self.reach + SLACK
-                self.compared_nodes += near.size
-                p, q = np.nonzero(near)
-                p, q = i[p + s], j[q + t]
-                if once:
-                    p, q = p[p <= q], q[p <= q]
-                if len(p):
-                    stack.append((p, q))
+        rx, ry = self.x.radius[i], self.y.radius[j]
+        for p in (i[rx == 0], i[rx > 0]):
+            for q in (j[ry == 0], j[ry > 0]):
+                for s in range(0, len(p), step):
+                    for t in range(0, len(q), step):
+                        x, y = p[s : s + step], q[t : t + step]
+                        if once and x[0] > y[-1]:
+                            continue
+                        bound = self.reach + SLACK
+                        if self.x.radius[x[0]] or self.y.radius[y[0]]:
+                            bound = bound + self.x.radius[x][:, None] + self.y.radius[y][None, :]
+                        near = _within(self.x.vectors[self.x.centre[x]], self.y.vectors[self.y.centre[y]], bound)
+                        self.compared_nodes += near.size
+                        at = np.flatnonzero(near)
+                        x, y = x[at // len(y)], y[at % len(y)]
+                        if once:
+                            x, y = x[x <= y], y[x <= y]
+                        if len(x):
+                            stack.append((x, y))
 
     def _apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         out = np.empty(len(x))
@@ -247,6 +269,9 @@ class DualTraversal:
         self.compared_vectors += len(p)
         for s in range(0, len(p), 1 << 14):
             i, j = p[s : s + (1 << 14)], q[s : s + (1 << 14)]
+            # single precision tells most that are not; the others are decided in double precision
+            near = np.einsum("ij,ij->i", self.single[0][i], self.single[1][j]) >= self.threshold - SINGLE
+            i, j = i[near], j[near]
             near = np.einsum("ij,ij->i", self.x.vectors[i], self.y.vectors[j]) >= self.threshold
             i, j = i[near], j[near]
             np.add.at(self.links[0], i, self.weights[1][j])

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .components import components
-from .cover_tree import SLACK, DualTraversal, build, unit
+from .cover_tree import SLACK, CoverTree, DualTraversal, build, unit
 from .storage import quoted, stash
 
 #: Vectors in a block at most; vectors in the sample of a node, on average; vectors that one
@@ -193,14 +193,18 @@ def link_counts(points: DataFrame, kind: str, threshold: float, block_rows: int
     pairs, _ = stash(light.unionByName(apart).select(F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q")).distinct(), "block-pairs")
     sides = pairs.select("p", "q", F.col("p").alias("block"), F.lit(False).alias("second")).unionByName(pairs.filter("p <> q").select("p", "q", F.col("q").alias("block"), F.lit(True).alias("second")))
 
+    last: dict[str, CoverTree] = {}  # of this task: its groups are in order of their first block
+
     def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("key")
         a, b = group[~group.second], group[group.second]
-        if key[0] == key[1]:
-            found = DualTraversal(_matrix(a.vector, kind), None, threshold, a.weight.to_numpy())
-        elif len(a) and len(b):
-            found = DualTraversal(_matrix(a.vector, kind), _matrix(b.vector, kind), threshold, a.weight.to_numpy(), b.weight.to_numpy())
-        else:
+        if not len(a) or not len(b) and key[0] != key[1]:
             return pd.DataFrame({"key": [], "n": [], "root": []}).astype("int64")
+        if key[0] not in last:
+            last.clear()
+            last[key[0]] = build(unit(_matrix(a.vector, kind)))
+        other = None if key[0] == key[1] else _matrix(b.vector, kind)
+        found = DualTraversal(last[key[0]], other, threshold, a.weight.to_numpy(), None if other is None else b.weight.to_numpy())
         keys = np.concatenate([a.key.to_numpy(), b.key.to_numpy()])
         n = np.concatenate(found.links)
         at = np.flatnonzero(n)
