@@ -15,10 +15,12 @@ META = ("author", "source", "copyleft", "attribution")
 
 def parse(args: list[str] | None = None) -> Options:
     parser = argparse.ArgumentParser(prog="geoloom", description="Extracts of a dump.")
-    parser.add_argument("--dump-file", required=True, help="plain-text dump to read")
+    parser.add_argument("--dump-file", required=True, help="dump to read: plain text, or an archive that the database's own tool can turn to text")
     parser.add_argument("--staging", default="staged", help="folder of the staged tables")
     parser.add_argument("--generator", default="geoloom", help="generator named in the outputs")
     parser.add_argument("--compression", default="bzip2", choices=["bzip2", "gzip", "none"], help="of XML outputs")
+    parser.add_argument("--compress-command", help="shell command that XML outputs are piped through instead")
+    parser.add_argument("--max-concurrency", type=int, default=4, help="tables that are staged at a time")
     parser.add_argument("--dense-nodes", default="true", choices=["true", "false"])
     parser.add_argument("--resume", action="store_true", help="keep tables that are staged already")
     parser.add_argument("--compat", action="store_true", help="read malformed fields leniently")
@@ -39,7 +41,10 @@ def parse(args: list[str] | None = None) -> Options:
     outputs = {name: given[name.replace("-", "_")] for name in PRODUCTS if given[name.replace("-", "_")]}
     if not outputs:
         parser.error("no output file; give the file of at least one product")
-    return Options(given["dump_file"], given["staging"], outputs, given["generator"], given["compression"], given["dense_nodes"] == "true", given["resume"], given["compat"], meta)
+    return Options(
+        given["dump_file"], given["staging"], outputs, generator=given["generator"], compression=given["compression"], compress_command=given["compress_command"], max_concurrency=given["max_concurrency"],
+        dense_nodes=given["dense_nodes"] == "true", resume=given["resume"], compat=given["compat"], meta=meta,
+    )
 
 
 def main() -> None:

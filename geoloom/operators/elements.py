@@ -40,15 +40,6 @@ def history(elements: DataFrame) -> DataFrame:
     return eligible(elements)
 
 
-def when_visible(elements: DataFrame, *columns: str) -> DataFrame:
-    """Null in the given columns of deleted versions; arrays become empty."""
-    for c in columns:
-        kind = elements.schema[c].dataType
-        gone = F.array().cast(kind) if kind.typeName() == "array" else F.lit(None).cast(kind)
-        elements = elements.withColumn(c, F.when(F.col("visible"), F.col(c)).otherwise(gone))
-    return elements
-
-
 def nest(children: DataFrame, keys: list[str], order: list[str], fields: list[str], name: str) -> DataFrame:
     """Children as an ordered array of structs per key. Strings order by their bytes."""
     items = F.array_sort(F.collect_list(F.struct(*order, *[f for f in fields if f not in order])))
@@ -104,16 +95,3 @@ def shown_owner(owned: DataFrame, full: bool, must_exist: bool = False) -> DataF
         message = F.concat(F.lit("no changeset "), F.col("changeset_id").cast("string"))
         user = F.when(F.col("owned").isNull(), F.raise_error(message).cast("string")).otherwise(user)
     return owned.withColumns({"user": user, "uid": uid}).drop("owned")
-
-
-def with_contributor(elements: DataFrame, changesets: DataFrame, users: DataFrame, full: bool, must_exist: bool = False) -> DataFrame:
-    """Add ``user, uid`` of the changeset's owner: null if not ``full``, if the owner is not
-    public or if there is no such changeset, which ``must_exist`` makes an error."""
-    if not full:
-        return elements.withColumn("user", F.lit(None).cast("string")).withColumn("uid", F.lit(None).cast("long"))
-    return shown_owner(with_owner(elements, changesets, users), full, must_exist)
-
-
-def missing_changesets(elements: DataFrame, changesets: DataFrame) -> DataFrame:
-    """Elements whose changeset does not exist."""
-    return elements.join(changesets.select(F.col("id").alias("changeset_id")), "changeset_id", "left_anti")

@@ -3,6 +3,7 @@ without discussions, each with contributors or anonymous."""
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ from ..schemas import FAMILIES
 from ..sinks import blocks, fixed, xml
 from . import staging
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Product:
@@ -47,6 +50,9 @@ class Options:
     outputs: dict[str, str]
     generator: str = "geoloom"
     compression: str = "bzip2"
+    #: A shell command that XML is piped through instead.
+    compress_command: str | None = None
+    max_concurrency: int = 4
     dense_nodes: bool = True
     resume: bool = False
     compat: bool = False
@@ -71,12 +77,14 @@ def nested(tables: dict[str, DataFrame], kind: str, history: bool = True) -> Dat
     family = FAMILIES[kind]
     rows = E.eligible(tables[family.parent])
     rows = E.with_newest(rows) if history else E.newest(rows).filter("visible").withColumn("newest", F.lit(True))
+    # owners come first, while rows are narrow: they are exchanged by session for that
+    rows = E.with_owner(rows, E.eligible(tables["changesets"]), tables["users"])
     rows = E.with_tags(rows, tables[family.tags], ["id", "version"])
     if kind == "way":
         rows = E.with_way_nodes(rows, tables[family.children])
     elif kind == "relation":
         rows = E.with_members(rows, tables[family.children])
-    return E.with_owner(rows, E.eligible(tables["changesets"]), tables["users"])
+    return rows
 
 
 def of_product(rows: DataFrame, product: Product) -> DataFrame:
@@ -115,7 +123,7 @@ def document(spark: SparkSession, tables: dict[str, DataFrame], joined: dict[str
 def build(spark: SparkSession, options: Options) -> None:
     """Stage the dump and write every product that is asked for. Elements are joined with
     their children once and stored; all products read that."""
-    staging.stage(spark, options.dump, options.staging, options.resume, options.compat)
+    staging.stage(spark, options.dump, options.staging, options.resume, options.compat, options.max_concurrency)
     tables, max_time = staging.staged(spark, options.staging), staging.staged_time(spark, options.staging)
     wanted = {name: PRODUCTS[name] for name in options.outputs}
     joined = {}
@@ -128,7 +136,9 @@ def build(spark: SparkSession, options: Options) -> None:
     for name, product in wanted.items():
         out = options.outputs[name]
         if product.form == "xml":
-            xml.write(document(spark, tables, joined, product, max_time, options.generator, options.meta), out, options.compression)
+            xml.write(document(spark, tables, joined, product, max_time, options.generator, options.meta), out, options.compression, options.compress_command)
+            if product.discussions and (hidden := C.withheld_comments(tables["changeset_comments"], tables["users"]).count()):
+                log.warning("%d visible comments are left out: their authors' data is not public", hidden)
             continue
         seconds = None if max_time is None else int((max_time - type(max_time)(1970, 1, 1)).total_seconds())
         head = blocks.header_block(seconds, options.generator, options.meta["source"], product.history, options.dense_nodes)

@@ -7,19 +7,19 @@ conversations.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import copy_text
 from ..functions import text as X
-from ..operators import block_model
 from ..operators import changesets as C
 from ..operators import elements as E
-from ..sinks import xml
-from ..sinks.blocks import delta_encode as delta_array
-from . import staging
+from ..sinks import blocks, xml
+from . import extract_queries, staging
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,11 +56,11 @@ def current_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.when_visible(E.history(_versions(spark, sf_dir)), "value").select("id", "version", "visible", "value")
+    return E.history(_versions(spark, sf_dir)).select("id", "version", "visible", F.when(F.col("visible"), F.col("value")).alias("value"))
 
 
 def _with_user(spark: SparkSession, sf_dir: str, full: bool) -> DataFrame:
-    return E.with_contributor(E.history(_versions(spark, sf_dir)), _sessions(spark, sf_dir), _customers(spark, sf_dir), full)
+    return E.shown_owner(E.with_owner(E.history(_versions(spark, sf_dir)), _sessions(spark, sf_dir), _customers(spark, sf_dir)), full)
 
 
 def element_user_public(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +72,9 @@ def element_user_anonymous(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_changeset_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    closed = _table(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("id"))
-    return E.missing_changesets(E.eligible(_versions(spark, sf_dir)), closed).select("id", "version", "changeset_id")
+    closed = _table(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("uid"))
+    owned = E.with_owner(E.eligible(_versions(spark, sf_dir)), closed, _customers(spark, sf_dir))
+    return owned.filter("owned is null").select("id", "version", "changeset_id")
 
 
 def _dump_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,18 +143,43 @@ def copy_unescape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def delta_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences of columns within groups of rows, as dense nodes have them."""
+
+    def encoded(group: pa.Table) -> pa.Table:
+        group = group.sort_by("event_id")
+        deltas = [pa.array(blocks.group_deltas(group[c].to_numpy(), np.zeros(1, np.int64))) for c in ("event_id", "user_id")]
+        return pa.table([group["event_id"], *deltas], ["event_id", "event_id_delta", "user_id_delta"])
+
     rows = _table(spark, sf_dir, "events").select("event_id", "user_id", F.floor(F.col("event_id") / 16000).cast("long").alias("group"))
-    return block_model.delta_columns(rows, "group", ["event_id"], ["event_id", "user_id"]).select("event_id", "event_id_delta", "user_id_delta")
+    return rows.groupBy("group").applyInArrow(encoded, "event_id long, event_id_delta long, user_id_delta long")
 
 
 def ref_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences within each row's list, as the references of ways have them."""
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            starts = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+            deltas = blocks.group_deltas(lists.flatten().to_numpy(), starts)
+            offsets = pa.array(lists.offsets.to_numpy() - lists.offsets[0].as_py(), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(deltas))], ["l_orderkey", "deltas"])
+
     refs = E.nest(_table(spark, sf_dir, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"], ["l_partkey"], "refs")
-    return refs.select("l_orderkey", F.array_join(delta_array(F.col("refs.l_partkey")).cast("array<string>"), ",").alias("deltas"))
+    made = refs.select("l_orderkey", "refs.l_partkey").mapInArrow(encoded, "l_orderkey long, deltas array<bigint>")
+    return made.select("l_orderkey", F.array_join(F.col("deltas").cast("array<string>"), ",").alias("deltas"))
 
 
 def string_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "events").withColumn("block_no", F.floor(F.col("event_id") / 500).cast("long"))
-    return block_model.string_dictionary(rows, "block_no", ["event_id"], "event_type")
+    """The numbers that a block gives to strings."""
+
+    def numbered(group: pa.Table) -> pa.Table:
+        strings = blocks.StringTable()
+        strings.numbers(group.sort_by("event_id")["event_type"].combine_chunks())
+        return pa.table([[group["block"][0].as_py()] * len(strings.ids), list(strings.ids), list(strings.ids.values())], ["block", "string", "string_id"])
+
+    rows = _table(spark, sf_dir, "events").select("event_id", "event_type", F.floor(F.col("event_id") / 500).cast("long").alias("block"))
+    return rows.groupBy("block").applyInArrow(numbered, "block long, string string, string_id long")
 
 
 def union_document(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +209,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         current_elements, history_elements, element_user_public, element_user_anonymous, missing_changeset_check, max_time, changeset_open_flag, comments_count, discussions, ordered_children,
         bbox_all_or_nothing, xml_sanitize, xml_escape, iso_time, degrees, copy_unescape, delta_encode, ref_deltas, string_dictionary, union_document, element_xml, member_xml,
     )
-}
+} | extract_queries.QUERIES
 
 _VERSIONS = """versions AS (
     SELECT user_id AS id, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS version, event_id % 1500 AS changeset_id,
@@ -250,4 +276,4 @@ ORACLE_SQL: dict[str, str] = {
     "member_xml": """SELECT conv_id AS id, ' <relation id="' || conv_id || '" timestamp="2020-01-01T00:00:00Z" version="1" changeset="7">' || chr(10)
             || string_agg('  <member type="' || CASE WHEN turn % 2 = 0 THEN 'node' ELSE 'way' END || '" ref="' || (conv_id * 100 + turn) || '" role="' || role || '"/>' || chr(10), '' ORDER BY turn)
             || ' </relation>' AS xml FROM conversations GROUP BY conv_id""",
-}
+} | extract_queries.ORACLE_SQL

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TABLES
-from ..sinks.files import exists
-from ..sources.copy_dump import read_table
+from ..sinks.files import create, exists, remove
+from ..sources.copy_dump import Block, found_block, index_blocks, is_archive, read_block, restore_to_text
 
 
 def table_time(rows: DataFrame, column: str | None) -> DataFrame:
@@ -23,21 +24,44 @@ def max_time(tables: list[tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, each).agg(F.max("max_time").alias("max_time"))
 
 
-def stage_table(spark: SparkSession, dump: str, name: str, folder: str, resume: bool = False, compat: bool = False) -> None:
-    """Write a table sorted by its key, then its time as the marker that it is complete."""
+def stage_table(spark: SparkSession, dump: str, name: str, folder: str, resume: bool = False, compat: bool = False, blocks: dict[str, Block] | None = None) -> None:
+    """Write a table sorted by its key, then its time as the marker that it is complete.
+    ``blocks``: the index of the dump; without it, or for an archive, the table's own is made."""
     table = TABLES[name]
-    marker = f"{folder}/{name}.complete"
+    marker, text = f"{folder}/{name}.complete", f"{folder}/{name}.copy"
     if resume and exists(spark, f"{marker}/_SUCCESS"):
         return
-    rows = read_table(spark, dump, name, compat)
-    rows.repartitionByRange(*table.key_columns).sortWithinPartitions(*table.key_columns).write.mode("overwrite").parquet(f"{folder}/{name}")
+    if archive := blocks is None and is_archive(dump):
+        restore_to_text(dump, name, text)
+        dump = text
+    blocks = index_blocks(spark, dump, compat) if blocks is None else blocks
+    rows = read_block(spark, found_block(blocks, dump, name), name, compat)
+    # lines are split and decoded once, not again for the sample that ranges are drawn from
+    raw = f"{folder}/{name}.rows"
+    rows.write.mode("overwrite").parquet(raw)
+    stored = spark.read.schema(table.schema).parquet(raw)
+    stored.repartitionByRange(*table.key_columns).sortWithinPartitions(*table.key_columns).write.mode("overwrite").parquet(f"{folder}/{name}")
     table_time(spark.read.schema(table.schema).parquet(f"{folder}/{name}"), table.time_column).coalesce(1).write.mode("overwrite").parquet(marker)
+    remove(raw)
+    if archive:
+        remove(text)
 
 
-def stage(spark: SparkSession, dump: str, folder: str, resume: bool = False, compat: bool = False) -> None:
-    """All tables. One that the dump lacks is an error that names it."""
-    for name in TABLES:
-        stage_table(spark, dump, name, folder, resume, compat)
+def stage(spark: SparkSession, dump: str, folder: str, resume: bool = False, compat: bool = False, concurrency: int = 4) -> None:
+    """All tables, ``concurrency`` at a time. One that the dump lacks is an error that names it."""
+    waiting = [n for n in TABLES if not (resume and exists(spark, f"{folder}/{n}.complete/_SUCCESS"))]
+    if not waiting:
+        return
+    if is_archive(dump):
+        create(folder)
+        blocks = None
+    else:
+        blocks = index_blocks(spark, dump, compat)
+        for name in waiting:
+            found_block(blocks, dump, name)
+    with ThreadPoolExecutor(max(1, concurrency)) as pool:
+        for done in [pool.submit(stage_table, spark, dump, name, folder, resume, compat, blocks) for name in waiting]:
+            done.result()
 
 
 def staged(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

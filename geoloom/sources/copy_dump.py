@@ -1,9 +1,11 @@
 """COPY text as a Spark data source.
 
-``format("copy_dump")`` with a ``path`` and a ``table`` gives the data lines of the table's
-COPY block as the column ``value``. The block is found on the driver by its header and its
-end line, and then read in ranges of bytes, one partition each, cut at line feeds. Splitting,
-unescaping and typing are native expressions on top (``read_table``).
+A dump is indexed once: tasks scan ranges of its bytes for lines that may open or end a block,
+and from these few lines the driver tells where each table's data lines are. ``format("copy_dump")``
+then gives the data lines of a block as the column ``value``, read in ranges of bytes, one
+partition each, cut at line feeds. Splitting, unescaping and typing are native expressions on
+top (``read_table``). An archive of the database's own format is first turned to text by the
+database's tool.
 """
 
 from __future__ import annotations
@@ -24,6 +26,9 @@ from ..functions import copy_text
 from ..schemas import TABLES, Table
 
 CHUNK = 8 << 20
+#: Fixed value: how an archive of the database's own format begins.
+ARCHIVE_MAGIC = b"PGDMP"
+_CANDIDATE, _LAST = (re.compile(rb"\n(COPY [^\n]*|\\\.)(?=" + end + rb")") for end in (rb"\n", rb"\n|\Z"))
 _NAME = r'(?:"(?:[^"]|"")+"|[A-Za-z_][\w$]*)'
 _HEADER = re.compile(rf"COPY (?:{_NAME}\.)?({_NAME}) \(\s*({_NAME}(?:\s*,\s*{_NAME})*)\s*\) FROM stdin;")
 
@@ -46,12 +51,12 @@ def parse_header(line: str) -> tuple[str, list[str]]:
 
 @dataclass
 class Block:
-    """Where a table's data lines are."""
+    """Where a table's data lines are; ``stop`` is None if nothing ends them."""
 
     path: str
     columns: list[str]
     start: int
-    stop: int
+    stop: int | None
 
 
 def _open(path: str):
@@ -59,48 +64,63 @@ def _open(path: str):
     return fs.open_input_file(base)
 
 
-def find_block(path: str, table: str, compat: bool = False) -> Block:
-    """Scan for the table's header and the line that ends its data. A missing table is an
-    error; a missing end too, unless ``compat``, which then also drops an unended line."""
+def _lines(path: str, start: int, stop: int, size: int) -> Iterator[tuple[int, bytes]]:
+    """Offsets and texts of lines that begin in the range and may open or end a block: that
+    start with COPY, or are a backslash and a dot."""
     with _open(path) as f:
-        size, at, tail = f.size(), 0, b"\n"
-        start, columns = None, []
-        while at < size:
-            f.seek(at)
-            data = tail + f.read(min(CHUNK, size - at))
-            base = at - len(tail)
-            at = base + len(data)
-            look = 0
-            while start is None and (hit := data.find(b"\nCOPY ", look)) >= 0:
-                end = data.find(b"\n", hit + 1)
-                while end < 0 and at < size:
-                    more = f.read(min(CHUNK, size - at))
-                    data, at = data + more, at + len(more)
-                    end = data.find(b"\n", hit + 1)
-                name, found = parse_header(data[hit + 1 : end if end >= 0 else len(data)].decode())
-                if name == table:
-                    start, columns, look = base + end + 1, found, end
-                else:  # what that block holds is data, whatever it looks like
-                    over = data.find(b"\n\\.\n", end)
-                    while over < 0 and at < size:
-                        data, base = data[-3:], at - min(3, len(data))
-                        more = f.read(min(CHUNK, size - at))
-                        data, at = data + more, at + len(more)
-                        over = data.find(b"\n\\.\n")
-                    look = over + 3 if over >= 0 else len(data)
-            if start is not None:
-                over = data.find(b"\n\\.\n", max(look, start - 1 - base))
-                if over < 0 and at >= size and data.endswith(b"\n\\."):
-                    over = len(data) - 3
-                if over >= 0:
-                    return Block(path, columns, start, base + over + 1)
-            tail = data[-5:]
-    if start is None:
+        at = max(0, start - 1)
+        f.seek(at)
+        # what is left of the last piece: the line feed before a line that is not whole yet
+        tail = b"\n" if start == 0 else b""
+        while at < size and (at < stop or tail and at - len(tail) + 1 < stop):
+            read = f.read(min(CHUNK, size - at))
+            data, base = tail + read, at - len(tail)
+            at += len(read)
+            for found in (_LAST if at >= size else _CANDIDATE).finditer(data):
+                if start <= base + found.start() + 1 < stop:
+                    yield base + found.start() + 1, found[1]
+            cut = data.rfind(b"\n")
+            # a line that is neither so far is passed by, however long
+            tail = data[cut:] if cut >= 0 and (data.startswith(b"COPY ", cut + 1) or len(data) - cut <= 5) else b""
+
+
+def index_blocks(spark: SparkSession, path: str, compat: bool = False, split: int = 256 << 20) -> dict[str, Block]:
+    """Where the blocks of all tables are, by a scan in parallel. Between a header and the line
+    that ends its data all is data, whatever it looks like. A missing end is an error for the
+    table unless ``compat``, which then drops an unended line."""
+    with _open(path) as f:
+        size = f.size()
+    tasks = max(1, -(-size // split))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [x for i in batch.column(0).to_pylist() for x in _lines(path, i * split, min(size, (i + 1) * split), size)]
+            yield pa.RecordBatch.from_arrays([pa.array([o for o, _ in found], pa.int64()), pa.array([t for _, t in found], pa.binary())], ["at", "line"])
+
+    # a few lines for each table
+    lines = sorted((r.at, bytes(r.line)) for r in spark.range(0, tasks, 1, tasks).mapInArrow(scan, "at long, line binary").distinct().collect())
+    out: dict[str, Block] = {}
+    now: tuple[str, list[str], int] | None = None
+    for at, line in lines:
+        if now is None and line.startswith(b"COPY "):
+            name, columns = parse_header(line.decode())
+            now = name, columns, at + len(line) + 1
+        elif now is not None and line == b"\\.":
+            out.setdefault(now[0], Block(path, now[1], now[2], at))
+            now = None
+    if now is not None:
+        with _open(path) as f:
+            out.setdefault(now[0], Block(path, now[1], now[2], _after_last_line(f, now[2], size) if compat else None))
+    return out
+
+
+def found_block(blocks: dict[str, Block], path: str, table: str) -> Block:
+    """The block of a table; one that the dump lacks or that has no end is an error."""
+    if table not in blocks:
         raise DumpError(f"table {table}: no COPY header in {path}")
-    if not compat:
+    if blocks[table].stop is None:
         raise DumpError(f"table {table}: the data has no end line; the dump is cut short")
-    with _open(path) as f:
-        return Block(path, columns, start, _after_last_line(f, start, size))
+    return blocks[table]
 
 
 def _after_last_line(f, start: int, size: int) -> int:
@@ -164,7 +184,7 @@ class CopyReader(DataSourceReader):
 
 
 class CopyDumpSource(DataSource):
-    """Options: path, table, split_bytes (default 64 MiB), compat."""
+    """Options: path, start, stop (of the block), split_bytes (default 64 MiB)."""
 
     @classmethod
     def name(cls) -> str:
@@ -174,7 +194,7 @@ class CopyDumpSource(DataSource):
         return "value string"
 
     def reader(self, schema) -> CopyReader:
-        block = find_block(self.options["path"], self.options["table"], self.options.get("compat") == "true")
+        block = Block(self.options["path"], [], int(self.options["start"]), int(self.options["stop"]))
         return CopyReader(block, int(self.options.get("split_bytes", 64 << 20)))
 
 
@@ -196,18 +216,29 @@ def typed(lines: DataFrame, table: Table, columns: list[str], compat: bool = Fal
     return parts.select(whole.alias("f")).select(*[copy_text.decode(F.element_at("f", at[c.name] + 1), c.kind, c.nullable, compat).alias(c.name) for c in table.columns])
 
 
-def read_table(spark: SparkSession, path: str, table: str, compat: bool = False, split_bytes: int = 64 << 20) -> DataFrame:
-    """A table of a plain-text dump, with the columns of its schema."""
+def read_block(spark: SparkSession, block: Block, table: str, compat: bool = False, split_bytes: int = 64 << 20) -> DataFrame:
+    """A table from its block, with the columns of its schema."""
     spark.dataSource.register(CopyDumpSource)
-    block = find_block(path, table, compat)
-    lines = spark.read.format("copy_dump").options(path=path, table=table, compat=str(compat).lower(), split_bytes=split_bytes).load()
+    lines = spark.read.format("copy_dump").options(path=block.path, start=block.start, stop=block.stop, split_bytes=split_bytes).load()
     return typed(lines, TABLES[table], block.columns, compat)
 
 
-def restore_to_text(dump: str, table: str, out: str) -> None:
-    """Turn a table of a binary dump to text with the database's own tool, if installed.
-    Its exit status is checked."""
-    tool = shutil.which("pg_restore")
-    if tool is None:
-        raise DumpError("pg_restore is not installed; give a plain-text dump")
-    subprocess.run([tool, "-f", out, "-a", "-t", table, dump], check=True)
+def read_table(spark: SparkSession, path: str, table: str, compat: bool = False, split_bytes: int = 64 << 20) -> DataFrame:
+    """A table of a plain-text dump."""
+    return read_block(spark, found_block(index_blocks(spark, path, compat), path, table), table, compat, split_bytes)
+
+
+def is_archive(path: str) -> bool:
+    with _open(path) as f:
+        return f.read(len(ARCHIVE_MAGIC)) == ARCHIVE_MAGIC
+
+
+def restore_to_text(dump: str, table: str, out: str, tool: str = "pg_restore") -> None:
+    """Turn a table of an archive to text with the database's own tool, if installed. Its exit
+    status is checked."""
+    found = shutil.which(tool)
+    if found is None:
+        raise DumpError(f"{tool} is not installed; give a plain-text dump")
+    done = subprocess.run([found, "-f", out, "-a", "-t", table, dump], capture_output=True, text=True)
+    if done.returncode:
+        raise DumpError(f"table {table}: {tool} ended with status {done.returncode}: {done.stderr.strip()[:500]}")

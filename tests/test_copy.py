@@ -85,8 +85,14 @@ def test_every_table(spark, tmp_path, monkeypatch, chunk):
     path = tmp_path / "dump.sql"
     path.write_bytes(dumps.text().encode())
     monkeypatch.setattr(copy_dump, "CHUNK", chunk)
+    raw, found = path.read_bytes(), []
+    for split in (13, 100, 1 << 20):  # the lines that open and end blocks, whatever the ranges
+        lines = [x for s in range(0, len(raw), split) for x in copy_dump._lines(str(path), s, min(len(raw), s + split), len(raw))]
+        found.append(lines)
+    assert found[0] == found[1] == found[2] and len(found[0]) == 2 * len(dumps.TABLES) and all(raw[at:].startswith(line + b"\n") for at, line in found[0])
+    blocks = copy_dump.index_blocks(spark, str(path), split=97 if chunk < 100 else 1 << 20)
     for name, (columns, rows) in dumps.TABLES.items():
-        block = copy_dump.find_block(str(path), name)
+        block = copy_dump.found_block(blocks, str(path), name)
         assert path.read_bytes()[block.start : block.stop] == "".join(r + "\n" for r in rows).encode(), name
         for split in (1, 10, 1000):
             reader = copy_dump.CopyReader(block, split)

@@ -1,12 +1,16 @@
 import bz2
+import gzip
 import struct
 import zlib
 from xml.etree import ElementTree
 
+import pyarrow as pa
 import pytest
 
 from geoloom.plans import products, staging
-from geoloom.sinks import blocks
+from geoloom.sinks import blocks, fixed
+from geoloom.sources import blocks as block_source
+from geoloom.sources import copy_dump
 
 from . import dumps
 
@@ -198,21 +202,18 @@ def test_plain_nodes(spark, built):
 
 
 def test_block_boundaries_do_not_matter(spark, built, monkeypatch):
-    from geoloom.sinks import fixed
-
     tables = staging.staged(spark, str(built / "staged"))
     nodes = products.elements(tables, "node", products.PRODUCTS["history-blocks"]).orderBy("id", "version").select("*").collect()
     monkeypatch.setitem(fixed.GROUP_SIZE, "node", 2)
     monkeypatch.setattr(fixed, "BLOCK_SHARE", fixed.MAX_BLOCK)
-    encoder = blocks.BlockEncoder("node", True, True, True)
-    made = []
-    for r in nodes:
-        row = r.asDict(recursive=True) | {"seconds": 0}
-        made += [b for b in [encoder.add(row)] if b]
-    made += [b for b in [encoder.finish()] if b]
-    assert len(made) == 2
-    ids = [row[0] for b in made for row in dense_nodes(zlib.decompress(one(b[4 + struct.unpack(">I", b[:4])[0] :], 3)))[0]]
-    assert ids == [0, 1, 2, 2]
+    batch = blocks._encoder_rows("node", products.elements(tables, "node", products.PRODUCTS["history-blocks"])).orderBy("id", "version").toArrow().combine_chunks().to_batches()[0]
+    for cut in (1, 2, 4):
+        encoder, made = blocks.BlockEncoder("node", True, True, True), []
+        for at in range(0, len(nodes), cut):
+            made += [b for _, b in encoder.add(batch.slice(at, cut))]
+        assert encoder.finish() is None and len(made) == len(nodes) // min(cut, 2)
+        ids = [row[0] for b in made for row in dense_nodes(zlib.decompress(one(b[4 + struct.unpack(">I", b[:4])[0] :], 3)))[0]]
+        assert ids == [0, 1, 2, 2]
 
 
 def test_missing_changeset(spark, built):
@@ -273,10 +274,18 @@ def test_command_line(tmp_path):
 
 
 def test_large_relations_close_a_block():
+    row = {"id": 1, "version": 1, "seconds": 0, "changeset_id": 1, "visible": True, "user": None, "uid": None, "tags": [{"k": "a", "v": "b"}], "members": [{"member_id": i, "member_role": "", "code": 0} for i in range(30_000)]}
     encoder = blocks.BlockEncoder("relation", False, False, True)
-    row = {"id": 1, "version": 1, "seconds": 0, "changeset_id": 1, "visible": True, "user": None, "uid": None, "tags": [], "members": [{"member_id": i, "member_role": "", "code": 0} for i in range(30_000)]}
-    made = sum(encoder.add(row | {"id": i}) is not None for i in range(150))
-    assert made >= 2
+    batch = pa.Table.from_pylist([row | {"id": i} for i in range(150)])
+    for name, kind in (("user", pa.string()), ("uid", pa.int64())):
+        batch = batch.set_column(batch.column_names.index(name), name, pa.nulls(150, kind))
+    batch = batch.combine_chunks().to_batches()[0]
+    made = [b for _, b in encoder.add(batch)]
+    made.append(encoder.finish())
+    raw = [zlib.decompress(one(b[4 + struct.unpack(">I", b[:4])[0] :], 3)) for b in made]
+    assert len(made) >= 3 and all(len(r) < fixed.MAX_BLOCK // 2 for r in raw)
+    back = [e for r in raw for e in block_source.elements_of(r)]
+    assert [e["id"] for e in back] == list(range(150)) and all(len(e["members"]) == 30_000 and e["members"][9]["member_id"] == 9 for e in back)
 
 
 def test_packed_varints():
@@ -284,3 +293,57 @@ def test_packed_varints():
     raw = blocks.packed(3, values, signed=True)
     assert numbers(one(raw, 3), True) == values
     assert blocks.packed(3, []) == b""
+
+
+def test_blocks_read_back(spark, built):
+    """What is read back from the blocks is what the product shows, dense or not."""
+    tables = staging.staged(spark, str(built / "staged"))
+    rows = {(r.kind, r.id, r.version): r for r in block_source.read(spark, str(built / "history-blocks")).collect()}
+    assert {k for k, *_ in rows} == {"node", "way", "relation"}
+    for kind in ("node", "way", "relation"):
+        shown = products.elements(tables, kind, products.PRODUCTS["history-blocks"]).collect()
+        assert len(shown) == sum(k == kind for k, *_ in rows)
+        for r in shown:
+            got = rows[kind, r.id, r.version]
+            assert (got.changeset_id, got.visible, got.uid, got.user) == (r.changeset_id, r.visible, r.uid, r.user)
+            assert got.tags == (r.tags if r.visible else [])
+            if kind == "node":
+                assert (got.latitude, got.longitude) == ((r.latitude, r.longitude) if r.visible else (0, 0))
+            elif kind == "way":
+                assert got.refs == r.refs
+            else:
+                assert [(("Node", "Way", "Relation")[m.code], m.member_id, m.member_role) for m in got.members] == [tuple(m) for m in r.members]
+    assert block_source.header(str(built / "blocks"))["required"] == ["OsmSchema-V0.6", "DenseNodes"]
+
+
+def test_compress_command(spark, built, tmp_path):
+    options = products.Options(str(built / "dump.sql"), str(built / "staged"), {"changesets": str(tmp_path / "c.gz")}, generator="test", resume=True, compress_command="gzip -c")
+    products.build(spark, options)
+    assert gzip.decompress((tmp_path / "c.gz").read_bytes()) == bz2.decompress((built / "changesets").read_bytes())
+    options.compress_command = "cat >/dev/null; exit 3"
+    with pytest.raises(RuntimeError, match="status 3"):
+        products.build(spark, options)
+
+
+def test_archives(spark, tmp_path, monkeypatch):
+    """An archive is turned to text by the tool, table by table; its failure is an error."""
+    (tmp_path / "dump").write_bytes(b"PGDMP archive")
+    (tmp_path / "dump.sql").write_bytes(dumps.text().encode())
+    with pytest.raises(copy_dump.DumpError, match="not installed"):
+        staging.stage_table(spark, str(tmp_path / "dump"), "users", str(tmp_path / "staged"))
+    tool = tmp_path / "pg_restore"
+    tool.write_text(f"#!/bin/sh\n[ $5 = ways ] && echo broken >&2 && exit 1\ncp {tmp_path}/dump.sql $2\n")
+    tool.chmod(0o755)
+    monkeypatch.setenv("PATH", str(tmp_path), prepend=":")
+    (tmp_path / "staged").mkdir()
+    staging.stage_table(spark, str(tmp_path / "dump"), "users", str(tmp_path / "staged"))
+    assert spark.read.parquet(str(tmp_path / "staged" / "users")).count() == 3 and not (tmp_path / "staged" / "users.copy").exists()
+    with pytest.raises(copy_dump.DumpError, match="status 1: broken"):
+        staging.stage_table(spark, str(tmp_path / "dump"), "ways", str(tmp_path / "staged"))
+    with pytest.raises(copy_dump.DumpError, match="status 1"):
+        staging.stage(spark, str(tmp_path / "dump"), str(tmp_path / "staged"), resume=True)
+
+
+def test_withheld_comments_are_counted(spark, built, caplog, tmp_path):
+    products.build(spark, products.Options(str(built / "dump.sql"), str(built / "staged"), {"changeset-discussions": str(tmp_path / "d")}, resume=True))
+    assert "2 visible comments are left out" in caplog.text
