@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, embedding_dups, exact_dedup, language, packing, pii, simhash, token_counts, toxicity, warc
-from .storage import ship_code
+from .storage import ship_code, stash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,11 +29,12 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of every document before and after three edits that its length places."""
+    """Counts of every document before and after three edits that its length places. The trees
+    are stored, as they are between batches of edits."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    trees = token_counts.build(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    trees, _ = stash(token_counts.build(_table(spark, sf_dir, "documents").select("doc_id", "text"), path), "segment-trees")
     edited = trees.withColumn("edits", token_counts.trial_edits(F.col("text")))
-    return token_counts.recount(edited, path).select("doc_id", "n_tokens", "n_tokens_after", "reencoded_chars", "text_chars")
+    return token_counts.recount(edited, path, with_text=False).select("doc_id", "n_tokens", "n_tokens_after", "reencoded_chars", "text_chars")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,18 +1,23 @@
 """Token counts that follow edits.
 
 A document's text is cut into segments of a fixed number of pieces, at spaces and line feeds,
-which no token spans. A tree over the segments holds the sums of their characters and of
-their tokens. An edit descends by characters to the segments that it touches, joins their
-rests with the new text and, where that no longer ends at a separator, with the next
-segment; this region alone is encoded again, and the sums above it are updated. The trees
-are stored as the two lists of their leaves, beside the text.
+which no token spans; longer pieces (of scripts without spaces, or of encoded data) are cut at
+pre-tokens, where a letter or digit meets a mark of punctuation, or a digit what follows it. A
+tree over the segments holds the sums of their characters and of their tokens. An edit descends
+by characters to the segments that it touches, joins their rests with the new text and, where a
+segment's end is no end of a pre-token any more, with the segments next to it; this region
+alone is encoded again, and the sums above it are updated. The trees are stored as the two
+lists of their leaves, beside the text, and come back from a batch of edits with the edited
+text, so that the next batch can follow.
 
 Defined results
 * null or empty text: no tokens. Null or empty list of edits: the counts stay.
+* very long text: as any other; a segment is as long as the text if it has no place to cut at.
 * an edit is (start, stop, text) in characters of the text as the edits before it left it;
   positions beyond the end are its end, a stop before the start is the start, a null text
-  deletes.
-* null id and repeated rows: one result row each. Other columns are ignored by ``recount``.
+  deletes. Ties, edits of the same place: in the order of the list.
+* null id and repeated rows: one result row each. Other columns are ignored by ``recount``;
+  ``build`` keeps them and names its own so that none clashes (``tree_names``).
 * empty table: empty result.
 """
 
@@ -22,29 +27,43 @@ import itertools
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
-from .storage import quoted
+from .storage import quoted, spare
 
 #: Pieces in a segment; a segment that has grown beyond GROWN times that is cut again.
 SEGMENT_PIECES, GROWN = 16, 8
+#: Characters from which on a piece is cut, and a part of it has at least.
+LONG_PIECE = 256
+_PIECE = regex.compile(r"[^ \n]*[ \n]|[^ \n]+")
+#: Places between characters where tokens end; those of special tokens' own marks are left out.
+_APART = regex.compile(r"[\p{L}\p{N}][^\s\p{L}\p{N}\p{M}|<>]|[0-9][A-Za-z0-9]")
+_CUT = regex.compile(r"(?<=[\p{L}\p{N}])(?=[^\s\p{L}\p{N}\p{M}|<>])|(?<=[0-9])(?=[A-Za-z0-9])")
 TREE = "leaf_chars array<int>, leaf_tokens array<int>"
 EDITS = "array<struct<start:int,stop:int,text:string>>"
 
 
+def apart(before: str, after: str) -> bool:
+    """Whether no token and no normalisation spans the place between two characters."""
+    return before in " \n" or _APART.match(before + after) is not None
+
+
 def segments(text: str) -> list[str]:
-    """Parts of the text that end after a separator, but for the last."""
+    """Parts of the text whose tokens are those of the whole."""
     out, start, seen = [], 0, 0
-    marked = text.replace("\n", " ")
-    at = marked.find(" ")
-    while at >= 0:
+    for m in _PIECE.finditer(text):
+        if m.end() - m.start() > LONG_PIECE:
+            for cut in _CUT.finditer(text, m.start(), m.end()):
+                if cut.start() - start >= LONG_PIECE and cut.start() > m.start():
+                    out.append(text[start : cut.start()])
+                    start, seen = cut.start(), 0
         seen += 1
         if seen == SEGMENT_PIECES:
-            out.append(text[start : at + 1])
-            start, seen = at + 1, 0
-        at = marked.find(" ", at + 1)
+            out.append(text[start : m.end()])
+            start, seen = m.end(), 0
     return [*out, text[start:]] if start < len(text) or not out else out
 
 
@@ -98,9 +117,13 @@ class SegmentTree:
         first, before = self._find(start)
         last, after = self._find(stop)
         region = self.leaves[first][:before] + new + self.leaves[last][after:]
-        while region and region[-1] not in " \n" and last + 1 < len(self.leaves):
+        # the segments on both sides, as far as they are not told apart by what is now between
+        while last + 1 < len(self.leaves) and not (region and self.leaves[last + 1] and apart(region[-1], self.leaves[last + 1][0])):
             last += 1
             region += self.leaves[last]
+        while first and not (region and self.leaves[first - 1] and apart(self.leaves[first - 1][-1], region[0])):
+            first -= 1
+            region = self.leaves[first] + region
         if len(parts := segments(region)) > GROWN:
             kept = self.tokens[self.base : self.base + len(self.leaves)]
             self._fill(self.leaves[:first] + parts + self.leaves[last + 1 :], kept[:first] + [0] * len(parts) + kept[last + 1 :], self.unsettled[:first] + [True] * len(parts) + self.unsettled[last + 1 :])
@@ -136,10 +159,15 @@ def _counter(path: str) -> tuple[bpe.PieceCache, Callable[[str], int]]:
     return known, lambda text: sum(known.of(text))
 
 
+def tree_names(columns: list[str]) -> tuple[str, str]:
+    """The names that ``build`` gives the leaves' characters and tokens beside ``columns``."""
+    return spare(columns, "leaf_chars"), spare(columns, "leaf_tokens")
+
+
 def build(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with the leaves of every document's tree: leaf_chars, leaf_tokens."""
-    names = [*docs.columns, "leaf_chars", "leaf_tokens"]
-    at = len(docs.columns)
+    """``docs`` with the leaves of every document's tree, under ``tree_names``."""
+    tree, at = tree_names(docs.columns), len(docs.columns)
+    names = [*docs.columns, *tree]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, count = _counter(path)
@@ -150,14 +178,17 @@ def build(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
             columns += [pa.array([list(map(len, x)) for x in leaves], pa.list_(pa.int32())), pa.array([list(map(count, x)) for x in leaves], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + f", {TREE}"
-    return docs.withColumn("text as bytes", quoted(text_col).cast("binary")).mapInArrow(run, schema)
+    quote = lambda n: "`" + n.replace("`", "``") + "`"
+    schema = ", ".join(f"{quote(n)} {t}" for n, t in docs.dtypes) + "".join(f", {quote(n)} array<int>" for n in tree)
+    return docs.withColumn(spare([*names], "text as bytes"), quoted(text_col).cast("binary")).mapInArrow(run, schema)
 
 
-def recount(trees: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits") -> DataFrame:
+def recount(trees: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits", tree: tuple[str, str] = ("leaf_chars", "leaf_tokens"), with_text: bool = True) -> DataFrame:
     """Apply each document's edits to its tree. Returns doc_id, n_tokens (before),
-    n_tokens_after, reencoded_chars, text_chars (after), and the new leaf_chars, leaf_tokens."""
-    names = ["doc_id", "n_tokens", "n_tokens_after", "reencoded_chars", "text_chars", "leaf_chars", "leaf_tokens"]
+    n_tokens_after, reencoded_chars, text_chars (after), and for the next batch of edits the new
+    leaf_chars, leaf_tokens and, ``with_text``, text."""
+    names = ["doc_id", "n_tokens", "n_tokens_after", "reencoded_chars", "text_chars", "leaf_chars", "leaf_tokens", *["text"] * with_text]
+    types = [*[pa.int64()] * 5, *[pa.list_(pa.int32())] * 2, *[pa.string()] * with_text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, count = _counter(path)
@@ -168,21 +199,21 @@ def recount(trees: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 for n in chars:
                     leaves.append(text[at : at + n])
                     at += n
-                tree = SegmentTree(leaves or [""], tokens or [0])
-                before = tree.tokens[1]
+                found = SegmentTree(leaves or [""], tokens or [0])
+                before = found.tokens[1]
                 for edit in edits or ():
-                    tree.edit(edit["start"] or 0, edit["stop"] or 0, edit["text"] or "")
-                edited.append((doc, before, tree))
+                    found.edit(edit["start"] or 0, edit["stop"] or 0, edit["text"] or "")
+                edited.append((doc, before, found))
             # the touched regions of a whole block are encoded together
-            known.learn(region for _, _, tree in edited for region in tree.regions())
+            known.learn(region for _, _, found in edited for region in found.regions())
             rows = []
-            for doc, before, tree in edited:
-                tree.settle(count)
-                rows.append((doc, before, tree.tokens[1], tree.reencoded, tree.chars[1], *tree.lists()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [*[pa.int64()] * 5, *[pa.list_(pa.int32())] * 2], strict=True)], names)
+            for doc, before, found in edited:
+                found.settle(count)
+                rows.append((doc, before, found.tokens[1], found.reencoded, found.chars[1], *found.lists(), *[found.text] * with_text))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    slim = trees.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("binary").alias("text"), "leaf_chars", "leaf_tokens", quoted(edits_col).cast(EDITS).alias("edits"))
-    return slim.mapInArrow(run, f"doc_id long, n_tokens long, n_tokens_after long, reencoded_chars long, text_chars long, {TREE}")
+    slim = trees.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("binary").alias("text"), quoted(tree[0]).alias("leaf_chars"), quoted(tree[1]).alias("leaf_tokens"), quoted(edits_col).cast(EDITS).alias("edits"))
+    return slim.mapInArrow(run, f"doc_id long, n_tokens long, n_tokens_after long, reencoded_chars long, text_chars long, {TREE}" + ", text string" * with_text)
 
 
 def trial_edits(text) -> F.Column:

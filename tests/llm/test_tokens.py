@@ -35,12 +35,13 @@ def test_encoder(library):
 
 
 def test_cache_forgets(library, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 3 * (bpe.PIECE_BYTES + 1))
     known = bpe.PieceCache(PATH, bpe.id_counts)
-    for t in ("a b c d e", "f g h i", "a f z", "a b c d e"):
+    long = "日本語" * 50_000
+    for t in ("a b c d e", "f g h i", "a f z", f"a {long} b", "a b c d e"):
         known.learn([t])
         assert sum(known.of(t)) == len(ids(library, t))
-        assert len(known.known) <= 3 + len(t)
+        assert len(known.known) <= 3 + len(t) and long not in known.known and long not in known.older
 
 
 def test_round_trip(docs, none, library):
@@ -112,13 +113,17 @@ def test_segment_tree(library):
 
     rng = random.Random(2)
     words = ["the", "a", "b'll", "éü", "\n", " ", "  ", "x1", "!!", "longerword", "\t", "<|endoftext|>"]
-    for _ in range(60):
-        text = "".join(rng.choice(words) + rng.choice([" ", "", "\n"]) for _ in range(rng.choice([0, 1, 5, 300, 2000])))
+    dense = ["日本語", "中文。", "，是", "a9B+", "7f/Q", "e\u0301", "1\u0301", "it's", "'", "s", "<|endoftext|>", "|", ">", "--", "²", "각", "\u1100\u1161", "x"]
+    for round_no in range(90):
+        if round_no < 60:
+            text = "".join(rng.choice(words) + rng.choice([" ", "", "\n"]) for _ in range(rng.choice([0, 1, 5, 300, 2000])))
+        else:  # without blanks
+            text = "".join(rng.choices(dense, k=rng.choice([5, 300, 2000])))
         leaves = token_counts.segments(text)
         tree = token_counts.SegmentTree(leaves, [count(x) for x in leaves])
         for k in range(6):
             a = rng.randint(-1, len(text) + 3)
-            edit = (a, a + rng.choice([-2, 0, 1, 5, 100]), rng.choice(["", "x", " ", "new words\nhere", "w " * 300]))
+            edit = (a, a + rng.choice([-2, 0, 1, 5, 100]), rng.choice(["", "x", " ", "new words\nhere", "w " * 300, "'", "。", "\u0301", "7"]))
             tree.edit(*edit)
             text = edited(text, [edit])
             assert (tree.text, tree.chars[1]) == (text, len(text))
@@ -127,6 +132,29 @@ def test_segment_tree(library):
                 assert tree.tokens[1] == len(ids(library, text)) and not tree.regions()
 
 
+def test_texts_without_blanks_have_segments():
+    for text in ("日本語中文是，" * 2000, "aGVsbG8gd29ybGQ9" * 2000):
+        leaves = token_counts.segments(text)
+        assert "".join(leaves) == text and len(leaves) > len(text) / 600 and max(map(len, leaves)) < 2 * token_counts.LONG_PIECE
+
+
+def test_batches_follow_each_other(spark, library):
+    """Edited texts and trees go into the next batch of edits; clashing names keep their columns."""
+    rng = random.Random(7)
+    texts = {i: " ".join(rng.choices(["one", "two!", "日本。語", "x9y"], k=rng.randint(0, 400))) for i in range(12)}
+    rows = spark.createDataFrame([(i, t, "kept", [1]) for i, t in texts.items()], "doc_id long, text string, leaf_chars string, `text as bytes` array<int>")
+    trees, names = token_counts.build(rows, PATH), token_counts.tree_names(rows.columns)
+    assert names == ("_leaf_chars", "leaf_tokens") and {(r.leaf_chars, r["text as bytes"][0]) for r in trees.collect()} == {("kept", 1)}
+    for _ in range(3):
+        edits = {i: [(a := rng.randint(0, len(t)), a + rng.randint(0, 9), rng.choice(["", "new", " 日本", "'s "])) for _ in range(2)] for i, t in texts.items()}
+        given = spark.createDataFrame([(i, e) for i, e in edits.items()], f"doc_id long, edits {token_counts.EDITS}")
+        trees = token_counts.recount(trees.join(given, "doc_id"), PATH, tree=names).cache()
+        names = ("leaf_chars", "leaf_tokens")
+        for r in trees.collect():
+            texts[r.doc_id] = edited(texts[r.doc_id], edits[r.doc_id])
+            assert (r.text, r.n_tokens_after) == (texts[r.doc_id], len(ids(library, texts[r.doc_id])))
+
+
 def test_recount(spark, docs, none, library):
     trees = token_counts.build(docs.select("doc_id", "text"), PATH).withColumn("edits", token_counts.trial_edits(F.col("text")))
     got = token_counts.recount(trees, PATH).collect()
