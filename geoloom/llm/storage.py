@@ -1,7 +1,8 @@
 """Lineage cuts in the folder that driver and executors share.
 
 ``spark.checkpoint.dir`` names it. Only a local master may run without it (tests);
-it then gets a folder of its own, removed when the driver ends.
+it then gets a folder of its own. What an application has stored there is removed when its
+driver ends.
 """
 
 from __future__ import annotations
@@ -39,8 +40,25 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_folders: dict[str, str] = {}
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path that nothing has yet, in a folder of this application that the end of its driver
+    removes."""
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        _folders[app] = f"{shared_dir(spark)}/geoloom-{app}"
+        root = spark._jvm.org.apache.hadoop.fs.Path(_folders[app])
+        atexit.register(_remove, root.getFileSystem(spark._jsc.hadoopConfiguration()), root)
+    return f"{_folders[app]}/{label}-{uuid.uuid4().hex}"
+
+
+def _remove(fs, root) -> None:
+    try:
+        fs.delete(root, True)
+    except Exception:  # the JVM may have ended before; what is left is only unused
+        pass
 
 
 _CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
