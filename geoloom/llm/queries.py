@@ -91,6 +91,12 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, text_sha256
         FROM hashed WINDOW same AS (PARTITION BY text_sha256)""",
+    "op5_embedding_near_dedup": """
+        WITH RECURSIVE vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        sized AS (SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS size FROM vectors),
+        links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM sized a JOIN sized b ON a.vec_id <> b.vec_id WHERE list_inner_product(a.v, b.v) / (a.size * b.size) >= 0.95),
+        reached(a, b) AS (SELECT vec_id, vec_id FROM vectors UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+        SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, min(b) AS component_id, vec_id = min(b) AS kept FROM vectors JOIN reached ON a = vec_id GROUP BY vec_id""",
     "op9_warc": """
         WITH payloads AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
