@@ -45,6 +45,8 @@ Defined results
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,13 +91,21 @@ PATTERNS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\w.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-])",
     "name": rf"(?<= )(?=\p{{Lu}})(?<={_BEFORE_NAME}){_NAME}(?: (?:(?:{_PARTICLE}) ){{0,3}}{_NAME})*+",
 }
-#: A text without any of these has no entity; access keys and labelled secrets may have no digit.
-TRIGGER = rf"[0-9@]|\b(?:{_TITLE})\b|AKIA|ASIA|{_LABEL} {{0,2}}[=:]"
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: What may begin an entity: the beginning of a word, or a digit; most places fail at once.
+ANY = r"(?:(?<!\w)|(?=\d))(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
 #: Put before and after every entity; what a text has of it, and of the second, is escaped.
 MARK, ESCAPE = "\x01", "\x03"
 
 
+def may_hold(text: Column) -> Column:
+    """Whether a text may have an entity: without a digit, an @, the beginning of an access key,
+    a title or a label it has none. Tests of single characters and plain words, cheapest first."""
+    titles = sorted(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES)
+    titles = [t for t in titles if not any(t != u and t.startswith(u) for u in titles)]
+    labels = ["password", "passwd", "secret", "token", "api_key", "apikey"]
+    return reduce(lambda x, y: x | y, [text.rlike("[0-9@]"), *[text.contains(t) for t in ["AKIA", "ASIA", *titles]], *[F.lower(text).contains(x) for x in labels]])
+
+
 def free(text: Column) -> Column:
     """The text with marks of its own escaped."""
     return F.when(text.rlike(f"[{MARK}{ESCAPE}]"), F.replace(F.replace(text, F.lit(ESCAPE), F.lit(f"{ESCAPE}\x05")), F.lit(MARK), F.lit(f"{ESCAPE}\x04"))).otherwise(text)
@@ -318,7 +328,7 @@ def replace(docs: DataFrame, key: str, text_col: str = "text", count_col: str |
     """``docs`` with surrogates in ``text_col``; ``key`` is secret. ``count_col``: a column
     to add with the number of entities."""
     columns = docs.columns
-    row, hit = spare(columns, "row_key"), quoted(text_col).rlike(TRIGGER)
+    row, hit = spare(columns, "row_key"), may_hold(quoted(text_col))
     # only texts that have an entity, stored with their parts under a number of their own
     carried = F.struct(*[quoted(c) for c in columns]).alias("doc")
     parts = docs.filter(hit).select(carried, F.split(marked(quoted(text_col)), MARK, -1).alias("parts"))

@@ -2,6 +2,8 @@ import random
 
 import corpus_pipeline
 import numpy as np
+import pytest
+
 from geoloom.llm import components, near_copies, simhash
 
 from .corpus import ROWS
@@ -33,13 +35,14 @@ def variants(rng):
     return texts
 
 
-def test_links_are_all_pairs(spark):
+@pytest.mark.parametrize("crowd", [2, 1000])
+def test_links_are_all_pairs(spark, crowd):
     texts = variants(random.Random(5))
     rng = random.Random(1)
     rng.shuffle(texts)
     table = spark.createDataFrame(list(enumerate(texts)), "key long, text string").selectExpr("key", "cast(text as binary) text").cache()
     want = classes_by_force(range(len(texts)), lambda a, b: similar(texts[a], texts[b]))
-    edges = near_copies.links(table).collect()
+    edges = near_copies.links(table, crowd=crowd).collect()
     assert all(similar(texts[e.a], texts[e.b]) for e in edges)
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert {n: got.get(n, n) for n in want} == want and 20 < len(set(want.values())) < len(texts) - 20
@@ -51,6 +54,19 @@ def test_prefixes_meet_at_the_threshold():
         assert near_copies.prefix_length(n, 80) == n - least + 1
 
 
+def test_a_shared_passage_gives_no_pairs_of_all(spark):
+    """Hundreds of documents that share a passage, which no sample tells to be frequent."""
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = [word() for _ in range(50)]
+    texts = [" ".join([word() for _ in range(rng.randint(20, 40))] + passage + [word() for _ in range(20)]) for _ in range(400)]
+    table = spark.createDataFrame(list(enumerate(texts)), "key long, text string").selectExpr("key", "cast(text as binary) text").cache()
+    keys = table.select("key")
+    rare = near_copies._rare_prefixes(table, keys, 5, 80)
+    assert rare.groupBy("token").count().filter("count > 300").count() == 0
+    assert near_copies.links(table).count() == 0
+
+
 def test_sketches_never_exceed_the_difference():
     rng = np.random.default_rng(4)
     for n in (1, 5, 40, 300, 9000):
