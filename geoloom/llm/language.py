@@ -38,7 +38,7 @@ from .storage import discard, quoted, stash, with_row_key
 
 UND = "und"
 #: A language is modelled if at least so many rows and this share of those with a code declare it.
-LEAST_ROWS, LEAST_SHARE = 20, 0.001
+LEAST_ROWS, LEAST_SHARE = 5, 0.001
 #: The bound on labelled rows of each language that the trigram model is fitted on.
 FIT_ROWS = 1500
 #: Trigrams that a text counts as at most; prior rows that smooth each level of the hosts.
