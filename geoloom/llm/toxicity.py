@@ -29,6 +29,7 @@ Defined results
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,7 +47,8 @@ from .storage import discard, quoted, stash
 EXAMPLES = 4000
 #: What a word weighs that tells nothing, beside the share of the labels' entropy.
 FLOOR = 0.001
-NEIGHBOURS, BLOCK = 15, 64
+#: Neighbours that vote, examples of a block, blocks of the first wave.
+NEIGHBOURS, BLOCK, WAVE = 15, 64, 16
 #: Weight of the base rate in a vote, against one of typical similarity.
 PRIOR_WEIGHT = 0.2
 #: From this cosine on an example has a text's own content.
@@ -54,12 +56,12 @@ SAME = 1 - 1e-9
 #: Rows of documents that are put out at once.
 ROWS = 1024
 
-_WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_WORDS, _ASCII_WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*"), re.compile("[a-z]+")
 
 
 def text_words(text: str) -> Counter:
     """How often each lower-case word occurs."""
-    return Counter(_WORDS.findall(text.lower()))
+    return Counter((_ASCII_WORDS if text.isascii() else _WORDS).findall(text.lower()))
 
 
 def explained(toxic: np.ndarray, clean: np.ndarray, all_toxic: int, all_clean: int) -> np.ndarray:
@@ -101,14 +103,14 @@ class BlockMaxIndex:
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, same: float = math.inf) -> list[tuple[float, int]]:
         """The k examples of largest cosine above 0 and below ``same``, nearest first, ties by
-        number. Blocks are visited in order of their bounds, in waves that double, until no
+        number. Blocks are visited in order of their bounds, in waves that grow fourfold, until no
         block is left whose bound reaches the k-th cosine so far."""
         entry, of = spans(self.entries[ids], self.entries[ids + 1])
         weight, block = weights[of], self.block[entry]
         bound = np.bincount(block, weight * self.largest[entry], minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
         best: list[tuple[float, int]] = []  # (-cosine, example), sorted
-        at, wave = 0, 4
+        at, wave = 0, WAVE
         while at < self.blocks:
             # a bound is rounded otherwise than the sums of its block, hence the allowance
             least = max(-best[-1][0] - 1e-9 if len(best) == k else 0.0, 1e-12)
@@ -125,7 +127,7 @@ class BlockMaxIndex:
             if len(found) > k:  # all that tie with the k-th stay
                 found = found[sums[found] >= np.partition(sums[found], -k)[-k]]
             best = sorted(best + list(zip((-sums[found]).tolist(), self.example[found].tolist(), strict=True)))[:k]
-            at, wave = at + wave, 2 * wave
+            at, wave = at + wave, 4 * wave
         return [(-c, j) for c, j in best]
 
 
