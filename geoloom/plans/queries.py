@@ -112,7 +112,7 @@ def ordered_children(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bbox_all_or_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
-    side = lambda k, f: F.when(key % k != 0, (key * f).cast("int"))
+    side = lambda k, f: F.when(key % k != 0, key * f)
     boxes = _table(spark, sf_dir, "orders").select(key.alias("id"), side(5, 11).alias("min_lat"), side(7, -13).alias("min_lon"), side(11, 17).alias("max_lat"), side(13, 19).alias("max_lon"))
     return C.whole_box(boxes).select("id", *[X.degrees(F.col(c)).alias(c) for c in C.BOX])
 
@@ -131,7 +131,7 @@ def iso_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").select("o_orderkey", X.degrees((F.col("o_orderkey") * 1237 - 900_000_000).cast("int")).alias("degrees"))
+    return _table(spark, sf_dir, "orders").select("o_orderkey", X.degrees(F.col("o_orderkey") * 1237 - 900_000_000).alias("degrees"))
 
 
 def copy_unescape(spark: SparkSession, sf_dir: str) -> DataFrame:
