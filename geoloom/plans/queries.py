@@ -190,7 +190,7 @@ def union_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def element_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _with_user(spark, sf_dir, True)
-    rows = rows.withColumn("latitude", (F.col("id") * 12345).cast("int")).withColumn("longitude", (-F.col("id") * 54321).cast("int"))
+    rows = rows.withColumn("latitude", F.col("id") * 12345).withColumn("longitude", F.col("id") * -54321)
     rows = rows.withColumn("timestamp", F.date_trunc("second", "timestamp").cast("timestamp_ntz")).withColumn("tags", F.array(F.struct(F.lit("type").alias("k"), F.col("event_type").alias("v"))))
     return rows.select("id", "version", xml.node(True).alias("xml"))
 

@@ -21,7 +21,7 @@ def far_keys(tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["degrees", "bbox_all_or_nothing"])
+@pytest.mark.parametrize("name", ["degrees", "element_xml", "bbox_all_or_nothing"])
 def test_coordinates_of_far_keys(spark, far_keys, name):
     db = duckdb.connect()
     for table in ("orders", "customer", "events"):
