@@ -40,7 +40,6 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cover_tree import spans
 from .storage import discard, quoted, stash
 
 #: The bound on labelled rows of each class that become examples.
@@ -92,22 +91,34 @@ class BlockMaxIndex:
         weights = np.concatenate([vectors[i][1] for i in self.example] or [np.zeros(0)])
         places = np.repeat(np.arange(self.n), [len(vectors[i][0]) for i in self.example])
         order = np.lexsort((places, ids))
-        ids, self.places, self.weights = ids[order], places[order].astype(np.int32), weights[order]
+        ids, self.places, self.weights = ids[order], places[order], weights[order]
         # an entry for each word and block: where its postings are, and their largest weight
         cell = ids * self.blocks + self.places // BLOCK
         first = np.flatnonzero(np.diff(cell, prepend=-1))
         self.start, self.stop = first, np.append(first[1:], len(cell))
-        self.block = (cell[first] % self.blocks).astype(np.int32)
+        self.block = cell[first] % self.blocks
         self.largest = np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0)
         self.entries = np.searchsorted(ids[first], np.arange(features + 1))
+        self.steps = np.arange(1)
+
+    def _ranges(self, low: np.ndarray, high: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All numbers of the ranges one after the other, and for each the weight of its range."""
+        size = high - low
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        if total > len(self.steps):
+            self.steps = np.arange(2 * total)
+        out = np.repeat(low - ends + size, size)
+        out += self.steps[:total]
+        return out, np.repeat(weights, size)
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, same: float = math.inf) -> list[tuple[float, int]]:
         """The k examples of largest cosine above 0 and below ``same``, nearest first, ties by
         number. Blocks are visited in order of their bounds, in waves that grow fourfold, until no
         block is left whose bound reaches the k-th cosine so far."""
-        entry, of = spans(self.entries[ids], self.entries[ids + 1])
-        weight, block = weights[of], self.block[entry]
-        bound = np.bincount(block, weight * self.largest[entry], minlength=self.blocks)
+        entry, weight = self._ranges(self.entries[ids], self.entries[ids + 1], weights)
+        block = self.block.take(entry)
+        bound = np.bincount(block, weight * self.largest.take(entry), minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
         best: list[tuple[float, int]] = []  # (-cosine, example), sorted
         at, wave = 0, WAVE
@@ -121,12 +132,19 @@ class BlockMaxIndex:
             chosen = np.zeros(self.blocks, bool)
             chosen[now] = True
             take = np.flatnonzero(chosen[block])
-            posting, of = spans(self.start[entry[take]], self.stop[entry[take]])
-            sums = np.round(np.bincount(self.places[posting], weight[take][of] * self.weights[posting], minlength=self.n), 12)
-            found = np.flatnonzero((sums > 0) & (sums < same))
+            of = entry[take]
+            posting, product = self._ranges(self.start[of], self.stop[of], weight[take])
+            product *= self.weights.take(posting)
+            sums = np.bincount(self.places.take(posting), product, minlength=self.n)
+            # what is further below the k-th than rounding can lift it is not looked at
+            found = np.flatnonzero(sums >= least if len(best) == k else sums > 0)
+            sums = np.round(sums[found], 12)
+            near = (sums > 0) & (sums < same)
+            found, sums = found[near], sums[near]
             if len(found) > k:  # all that tie with the k-th stay
-                found = found[sums[found] >= np.partition(sums[found], -k)[-k]]
-            best = sorted(best + list(zip((-sums[found]).tolist(), self.example[found].tolist(), strict=True)))[:k]
+                near = sums >= np.partition(sums, -k)[-k]
+                found, sums = found[near], sums[near]
+            best = sorted(best + list(zip((-sums).tolist(), self.example[found].tolist(), strict=True)))[:k]
             at, wave = at + wave, 4 * wave
         return [(-c, j) for c, j in best]
 

@@ -176,6 +176,21 @@ def test_block_max_index_is_exact():
     assert toxicity.BlockMaxIndex([], 3).nearest(np.array([1]), np.array([1.0])) == []
 
 
+def test_search_looks_at_few_sums():
+    """Postings need no conversion, and only sums near the k-th best are rounded and ranked."""
+    rng = np.random.default_rng(8)
+    vectors = [(np.arange(40), v / np.linalg.norm(v)) for v in rng.random((3000, 40))]
+    index = toxicity.BlockMaxIndex(vectors, 40)
+    assert {index.places.dtype, index.block.dtype} == {np.dtype(np.intp)}
+    ids, query = vectors[5]
+    rounded, round_ = [], np.round
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(np, "round", lambda x, *n: (rounded.append(len(x)), round_(x, *n))[1])
+        found = index.nearest(ids, query)
+    want = sorted((-c, i) for i, c in enumerate(round_(np.array([v for _, v in vectors]) @ query, 12)))[: toxicity.NEIGHBOURS]
+    assert [i for _, i in found] == [i for _, i in want] and sum(rounded) < 3000
+
+
 def test_isotonic():
     x, y = toxicity.isotonic(np.array([0.1, 0.2, 0.3, 0.4, 0.9]), np.array([0, 1.0, 0, 1, 1]), np.array([1, 1, 3, 1, 1.0]))
     assert y.tolist() == [0, 0.25, 1] and x == pytest.approx([0.1, 0.275, 0.65])
