@@ -30,7 +30,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-copies (five-word shingles, Jaccard similarity 0.8 or more), the
-    document with the smallest doc_id."""
+    document with the smallest doc_id. SimHash links them first, prefixes what it leaves."""
     ship_code(spark)
     return near_copies.keep_one(docs, words=5, per_cent=80)
 

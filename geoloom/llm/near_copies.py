@@ -1,6 +1,9 @@
-"""Near-copies by the exact Jaccard similarity of their word shingles.
+"""Near-copies by SimHash fingerprints, complete by the exact Jaccard similarity of shingles.
 
-Candidates come from prefixes, which lose no pair: under one order of all shingles, two sets
+First, fingerprints within two bits meet by multi-index hashing (``simhash.links``), and texts
+of one fingerprint meet the least of them. Each of these links is verified. As no radius of
+fingerprints holds every pair that is similar enough, prefixes then give the pairs across the
+components of these links. They lose no pair: under one order of all shingles, two sets
 whose Jaccard similarity reaches s share a shingle among the first n - ceil(s n) + 1 of each.
 Shingles that are frequent in a sample of the documents come last in that order, so that
 common passages are rarely in a prefix; the sample has no influence on results.
@@ -8,7 +11,7 @@ common passages are rarely in a prefix; the sample has no influence on results.
 Documents that share a prefix shingle are first each compared with the least of them, which
 joins large groups of copies in as many pairs as documents. Only then all pairs of a
 shingle's documents are compared that these links left in different components and whose
-sizes and places of the shingle allow the similarity. Of the candidates most are told apart by
+sizes, places of the shingle and short sketches allow the similarity. Of the candidates most are told apart by
 sketches, which bound the number of different shingles from below; every link is verified on the
 complete sets of shingles, and components of the links are those of all pairs that are similar
 enough.
@@ -25,6 +28,7 @@ Defined results
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import simhash
 from .components import components
 from .simhash import SEED
 from .storage import discard, quoted, release_memory, stash, with_row_key
@@ -42,6 +47,8 @@ SAMPLE, FREQUENT_FROM, FREQUENT = 8192, 3, 100_000
 #: Rows of documents that are put out at once, which bounds a worker's memory; bits of the
 #: largest sketch.
 ROWS, SKETCH_BITS = 256, 8192
+#: Words of 64 bits of the short sketches that the join of a shingle's documents compares.
+SHORT = 8
 
 
 def shingles(text: bytes | None, words: int = 5) -> np.ndarray:
@@ -125,6 +132,12 @@ def sketch(own: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def short_sketch(own: np.ndarray) -> list[int]:
+    """The sketch of SHORT words of 64 bits, whatever the set's size."""
+    odd = np.bincount(own & (64 * SHORT - 1), minlength=64 * SHORT) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
 def least_difference(a: bytes, b: bytes) -> int:
     """How many shingles at least only one of two sets has: a shingle of both changes the same
     bit in either sketch. The longer sketch is folded to the length of the other."""
@@ -156,6 +169,24 @@ def _of_keys(texts: DataFrame, pairs: DataFrame, make, kind: str, words: int, la
     return made
 
 
+def by_fingerprint(texts: DataFrame, words: int = 3, max_distance: int = 2) -> tuple[DataFrame, list[str]]:
+    """``a, b``: a link for each two distinct fingerprints that ``simhash.links`` joins, between
+    the least documents of both, and one from each document to the least of its fingerprint;
+    and the paths of what is stored."""
+    fps, fps_path = stash(simhash.fingerprints(texts, "key", "text", words), "fingerprints")
+    least, least_path = stash(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    met = simhash.links(least.select("fp"), max_distance)
+    heads = met.join(least.toDF("a", "x"), "a").join(least.toDF("b", "y"), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    copies = fps.join(least, "fp").filter("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+    return heads.unionByName(copies), [fps_path, least_path]
+
+
+def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that ``roots`` (node, root) leaves in different components."""
+    named = pairs.distinct().join(roots.toDF("a", "root_a"), "a", "left").join(roots.toDF("b", "root_b"), "b", "left")
+    return named.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
 def _verified(texts: DataFrame, candidates: DataFrame, words: int, per_cent: int) -> DataFrame:
     """The rows ``a, b`` of ``candidates`` that are similar enough. The result is stored.
 
@@ -187,18 +218,29 @@ def links(texts: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
     """``a, b``: links whose components are those of all pairs of rows (key, text) with a
     Jaccard similarity of at least ``per_cent`` hundredths. ``texts`` should be stored."""
     spark, by_token = texts.sparkSession, Window.partitionBy("token")
+    candidates, fingerprint_paths = by_fingerprint(texts)
+    hashed = _verified(texts, candidates, words, per_cent)
+    discard(spark, *fingerprint_paths)
+    known, known_path = stash(components(hashed), "components-by-fingerprint")
     filed = prefixes(texts, words, per_cent).withColumn("lead", F.min(F.struct("key", "n", "past")).over(by_token)).withColumn("last", F.max("key").over(by_token))
     shared, shared_path = stash(filed.filter("lead.key <> last").select("token", "key", "n", "past", F.col("lead.key").alias("lead"), F.col("lead.n").alias("lead_n"), F.col("lead.past").alias("lead_past")), "shared-prefixes")
     rest = shared.filter("key <> lead")
-    stars = _verified(texts, rest.filter(_may_reach(F.col("n"), F.col("past"), F.col("lead_n"), F.col("lead_past"), per_cent)).select(F.col("lead").alias("a"), F.col("key").alias("b")), words, per_cent)
+    led = rest.filter(_may_reach(F.col("n"), F.col("past"), F.col("lead_n"), F.col("lead_past"), per_cent)).select(F.col("lead").alias("a"), F.col("key").alias("b"))
+    stars = hashed.unionByName(_verified(texts, _across(led, known), words, per_cent))
     # pairs with the least document of a shingle are settled; of the others, those across components
     rooted = rest.join(components(stars).withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", "past", F.coalesce("root", "key").alias("root"))
     mixed = rooted.withColumn("low", F.min("root").over(by_token)).withColumn("high", F.max("root").over(by_token)).filter("low <> high")
     mixed, mixed_path = stash(mixed.select("token", "key", "n", "past", "root"), "mixed-prefixes")
-    x, y = mixed.toDF("token", "a", "n", "past_a", "root_a"), mixed.toDF("token", "b", "m", "past_b", "root_b")
-    across = x.join(y, "token").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _may_reach(F.col("n"), F.col("past_a"), F.col("m"), F.col("past_b"), per_cent))
-    out = stars.unionByName(_verified(texts, across.select("a", "b"), words, per_cent))
-    discard(spark, shared_path, mixed_path)
+    short, short_path = _of_keys(texts, mixed.select(F.col("key").alias("a"), F.col("key").alias("b")), short_sketch, "array<bigint>", words, "short-sketches")
+    drawn, drawn_path = stash(mixed.join(short.select("key", *[F.col("made")[i].alias(f"s{i}") for i in range(SHORT)]), "key"), "sketched-prefixes")
+    x, y = (drawn.select("token", *[F.col(c).alias(f"{c}_{side}") for c in drawn.columns if c != "token"]) for side in "ab")
+    n, m = F.col("n_a").cast("long"), F.col("n_b").cast("long")
+    apart = reduce(Column.__add__, [F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(SHORT)])
+    # common <= (n + m - apart) / 2, and common * 100 must reach (n + m - common) * per_cent
+    near = (n + m - apart) * (100 + per_cent) >= (n + m) * (2 * per_cent)
+    across = x.join(y, "token").filter((F.col("key_a") < F.col("key_b")) & (F.col("root_a") != F.col("root_b")) & _may_reach(F.col("n_a"), F.col("past_a"), F.col("n_b"), F.col("past_b"), per_cent) & near)
+    out = stars.unionByName(_verified(texts, across.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")), words, per_cent))
+    discard(spark, known_path, shared_path, mixed_path, short_path, drawn_path)
     return out
 
 

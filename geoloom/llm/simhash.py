@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import discard, quoted, stash, with_row_key
+from .storage import discard, quoted, release_memory, stash, with_row_key
 
 SEED = 42
 BITS = 64
@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             fps = [fingerprint(text.as_py(), words) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+        release_memory()
 
     slim = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("binary").alias("text"))
     return slim.mapInArrow(run, "doc_id long, fp long")

@@ -84,3 +84,33 @@ def test_stage_drops_near_copies(spark):
     assert far
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect()) == list(range(0, 40, 2))
+
+
+def test_fingerprints_link_first(spark, monkeypatch):
+    """SimHash finds what lies within two bits, and the prefixes only what it leaves."""
+    rng, texts = random.Random(3), []
+    for _ in range(15):
+        words = [f"w{rng.randrange(4000)}" for _ in range(400)]
+        texts += [" ".join(words), " ".join([*words[:-1], "end"]), " ".join(words).upper()]
+    table = spark.createDataFrame(list(enumerate(texts)), "key long, text string").selectExpr("key", "cast(text as binary) text").cache()
+    fps = [simhash.fingerprint(t.encode()) for t in texts]
+    want = classes_by_force(range(len(texts)), lambda a, b: ((fps[a] ^ fps[b]) & (1 << 64) - 1).bit_count() <= 2)
+    got = {r.node: r.root for r in components.components(near_copies.by_fingerprint(table)[0]).collect()}
+    assert {n: got.get(n, n) for n in want} == want and len(set(want.values())) < len(texts)
+    asked, verified = [], near_copies._verified
+
+    def noted(texts, candidates, *rest):
+        asked.append({(r.a, r.b) for r in candidates.collect()})
+        return verified(texts, candidates, *rest)
+
+    monkeypatch.setattr(near_copies, "_verified", noted)
+    near_copies.links(table)
+    assert asked[0] and all(want[a] != want[b] for later in asked[1:] for a, b in later)
+
+
+def test_short_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(6)
+    for n in (1, 30, 700, 5000):
+        a, b = (np.unique(rng.integers(-(1 << 62), 1 << 62, k)) for k in (n, n + 3))
+        x, y = (near_copies.short_sketch(np.union1d(a[: n // 2], v)) for v in (a, b))
+        assert len(x) == near_copies.SHORT and sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(x, y, strict=True)) <= len(np.setxor1d(np.union1d(a[: n // 2], a), np.union1d(a[: n // 2], b)))
