@@ -41,9 +41,9 @@ from .storage import quoted
 #: Bytes of pieces of text and their encodings that a worker remembers, in each of two
 #: generations, counting PIECE_BYTES for each piece beside its characters; pieces of more
 #: characters than LONG_PIECE are not remembered.
-CACHE_BYTES, PIECE_BYTES, LONG_PIECE = 40 << 20, 200, 64
+CACHE_BYTES, PIECE_BYTES, LONG_PIECE = 24 << 20, 200, 64
 #: Bytes of text that are looked up at once.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 #: The words of the tokenizer's pre-tokenizer.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
