@@ -48,7 +48,7 @@ SAMPLE, FREQUENT_FROM, FREQUENT = 8192, 3, 100_000
 #: largest sketch.
 ROWS, SKETCH_BITS = 256, 8192
 #: Words of 64 bits of the short sketches that the join of a shingle's documents compares.
-SHORT = 8
+SHORT = 16
 
 
 def shingles(text: bytes | None, words: int = 5) -> np.ndarray:
