@@ -9,12 +9,18 @@ Shingles that are frequent in a sample of the documents come last in that order,
 common passages are rarely in a prefix; the sample has no influence on results.
 
 Documents that share a prefix shingle are first each compared with the least of them, which
-joins large groups of copies in as many pairs as documents. Only then all pairs of a
-shingle's documents are compared that these links left in different components and whose
-sizes, places of the shingle and short sketches allow the similarity. Of the candidates most are told apart by
-sketches, which bound the number of different shingles from below; every link is verified on the
-complete sets of shingles, and components of the links are those of all pairs that are similar
-enough.
+joins large groups of copies in as many pairs as documents. Where the least is no copy of the
+others, or only of some, as in a group around one text whose members differ from each other by
+about as much as is allowed, many components stay beside a large one, and each of their documents
+has a link to a large part of it. Rounds therefore deal each shingle's documents anew, by the least
+of all their shingles under the round's own order, which similar sets mostly share, and compare the
+documents of such a group with one that is drawn from it: again no more pairs than places. Only then
+all pairs of a shingle's documents are compared that all
+these links left in different components and whose sizes, places of the shingle and short sketches
+allow the similarity. Rounds decide how many pairs are left to that, never whether a pair is
+compared. Of the candidates most are told apart by sketches, which bound the number of different
+shingles from below; every link is verified on the complete sets of shingles, and components of
+the links are those of all pairs that are similar enough.
 
 Defined results
 * null or empty text, or one without words, and fewer words than a shingle has: the whole
@@ -49,6 +55,9 @@ SAMPLE, FREQUENT_FROM, FREQUENT = 8192, 3, 100_000
 ROWS, SKETCH_BITS = 256, 8192
 #: Words of 64 bits of the short sketches that the join of a shingle's documents compares.
 SHORT = 16
+#: Rounds of drawn leads at most, and the share of a round's documents that it must have linked for
+#: another one.
+ROUNDS, PROGRESS = 4, 0.01
 
 
 def shingles(text: bytes | None, words: int = 5) -> np.ndarray:
@@ -138,6 +147,11 @@ def short_sketch(own: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
 
 
+def least_values(own: np.ndarray) -> list[int]:
+    """The least of a set's hashes under each of ROUNDS orders, by odd factors."""
+    return [int((own.view(np.uint64) * np.uint64(2 * xxhash.xxh64_intdigest(b"order", i) + 1 & (1 << 64) - 1)).min().astype(np.int64)) for i in range(ROUNDS)]
+
+
 def least_difference(a: bytes, b: bytes) -> int:
     """How many shingles at least only one of two sets has: a shingle of both changes the same
     bit in either sketch. The longer sketch is folded to the length of the other."""
@@ -214,6 +228,25 @@ def _verified(texts: DataFrame, candidates: DataFrame, words: int, per_cent: int
     return out
 
 
+def _mixed(filed: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of ``filed`` (token, key and others), with their components by ``roots``, whose
+    shingles documents of different components have."""
+    rooted = filed.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    by_token = Window.partitionBy("token")
+    return rooted.withColumn("low", F.min("root").over(by_token)).withColumn("high", F.max("root").over(by_token)).filter("low <> high").drop("low", "high")
+
+
+def _similar(some: DataFrame, others: DataFrame, per_cent: int, on: list[str]) -> DataFrame:
+    """Pairs of rows with equal ``on``, columns with _a and _b, of documents in different
+    components, that sizes and short sketches allow to be similar enough."""
+    x, y = (of.select(*on, *[F.col(c).alias(f"{c}_{side}") for c in of.columns if c not in on]) for of, side in ((some, "a"), (others, "b")))
+    n, m = F.col("n_a").cast("long"), F.col("n_b").cast("long")
+    apart = reduce(Column.__add__, [F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(SHORT)])
+    # common <= (n + m - apart) / 2, and common * 100 must reach (n + m - common) * per_cent
+    near = (n + m - apart) * (100 + per_cent) >= (n + m) * (2 * per_cent)
+    return x.join(y, on).filter((F.col("root_a") != F.col("root_b")) & (F.least(n, m) * 100 >= F.greatest(n, m) * per_cent) & near)
+
+
 def links(texts: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
     """``a, b``: links whose components are those of all pairs of rows (key, text) with a
     Jaccard similarity of at least ``per_cent`` hundredths. ``texts`` should be stored."""
@@ -228,19 +261,30 @@ def links(texts: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
     led = rest.filter(_may_reach(F.col("n"), F.col("past"), F.col("lead_n"), F.col("lead_past"), per_cent)).select(F.col("lead").alias("a"), F.col("key").alias("b"))
     stars = hashed.unionByName(_verified(texts, _across(led, known), words, per_cent))
     # pairs with the least document of a shingle are settled; of the others, those across components
-    rooted = rest.join(components(stars).withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", "past", F.coalesce("root", "key").alias("root"))
-    mixed = rooted.withColumn("low", F.min("root").over(by_token)).withColumn("high", F.max("root").over(by_token)).filter("low <> high")
-    mixed, mixed_path = stash(mixed.select("token", "key", "n", "past", "root"), "mixed-prefixes")
-    short, short_path = _of_keys(texts, mixed.select(F.col("key").alias("a"), F.col("key").alias("b")), short_sketch, "array<bigint>", words, "short-sketches")
-    drawn, drawn_path = stash(mixed.join(short.select("key", *[F.col("made")[i].alias(f"s{i}") for i in range(SHORT)]), "key"), "sketched-prefixes")
-    x, y = (drawn.select("token", *[F.col(c).alias(f"{c}_{side}") for c in drawn.columns if c != "token"]) for side in "ab")
-    n, m = F.col("n_a").cast("long"), F.col("n_b").cast("long")
-    apart = reduce(Column.__add__, [F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(SHORT)])
-    # common <= (n + m - apart) / 2, and common * 100 must reach (n + m - common) * per_cent
-    near = (n + m - apart) * (100 + per_cent) >= (n + m) * (2 * per_cent)
-    across = x.join(y, "token").filter((F.col("key_a") < F.col("key_b")) & (F.col("root_a") != F.col("root_b")) & _may_reach(F.col("n_a"), F.col("past_a"), F.col("n_b"), F.col("past_b"), per_cent) & near)
+    mixed, mixed_path = stash(_mixed(rest.select("token", "key", "n", "past"), components(stars)), "mixed-prefixes")
+    signs, signs_path = _of_keys(texts, mixed.select(F.col("key").alias("a"), F.col("key").alias("b")), lambda own: short_sketch(own) + least_values(own), "array<bigint>", words, "short-sketches")
+    named = [F.col("made")[i].alias(name) for i, name in enumerate([f"s{i}" for i in range(SHORT)] + [f"least{i}" for i in range(ROUNDS)])]
+    drawn, drawn_path = stash(mixed.join(signs.select("key", *named), "key"), "sketched-prefixes")
+    documents = signs.count()
+    discard(spark, shared_path, mixed_path, signs_path)
+    for seed in range(ROUNDS):
+        group = ["token", f"least{seed}"]
+        own = drawn.drop(*[f"least{i}" for i in range(ROUNDS) if i != seed])
+        lead = own.groupBy(*group).agg(F.min_by(F.struct(*[c for c in own.columns if c not in group]), F.xxhash64(F.lit(seed), "token", "key")).alias("lead")).select(*group, "lead.*")
+        led = _similar(lead, own, per_cent, group).select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
+        found = _verified(texts, led, words, per_cent)
+        linked = found.count()
+        if not linked:
+            break
+        stars, old_path = stars.unionByName(found), drawn_path
+        drawn, drawn_path = stash(_mixed(drawn.drop("root"), components(stars)), "sketched-prefixes")
+        discard(spark, old_path)
+        if linked < PROGRESS * documents:
+            break
+    drawn = drawn.drop(*[f"least{i}" for i in range(ROUNDS)])
+    across = _similar(drawn, drawn, per_cent, ["token"]).filter((F.col("key_a") < F.col("key_b")) & _may_reach(F.col("n_a"), F.col("past_a"), F.col("n_b"), F.col("past_b"), per_cent))
     out = stars.unionByName(_verified(texts, across.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")), words, per_cent))
-    discard(spark, known_path, shared_path, mixed_path, short_path, drawn_path)
+    discard(spark, known_path, drawn_path)
     return out
 
 

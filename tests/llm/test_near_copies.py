@@ -114,3 +114,42 @@ def test_short_sketches_never_exceed_the_difference():
         a, b = (np.unique(rng.integers(-(1 << 62), 1 << 62, k)) for k in (n, n + 3))
         x, y = (near_copies.short_sketch(np.union1d(a[: n // 2], v)) for v in (a, b))
         assert len(x) == near_copies.SHORT and sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(x, y, strict=True)) <= len(np.setxor1d(np.union1d(a[: n // 2], a), np.union1d(a[: n // 2], b)))
+
+
+def test_least_values_meet_as_often_as_sets_are_similar():
+    rng, same = np.random.default_rng(7), 0
+    for _ in range(200):
+        both, a, b = (rng.integers(-(1 << 62), 1 << 62, k) for k in (80, 10, 10))
+        x, y = (near_copies.least_values(np.unique(np.concatenate((both, v)))) for v in (a, b))
+        assert len(x) == near_copies.ROUNDS and all(-(1 << 63) <= v < 1 << 63 for v in x)
+        same += sum(p == q for p, q in zip(x, y, strict=True))
+    assert abs(same / (200 * near_copies.ROUNDS) - 0.8) < 0.1
+
+
+def test_pairs_of_a_large_group_grow_with_its_documents(spark, monkeypatch):
+    """Edits of one text that differ from each other by about as much as is allowed, after
+    short texts that lead their shingles and are not similar to them."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    texts = [" ".join(base[at : at + 5]) for at in range(146)]
+    for _ in range(200):
+        now = list(base)
+        for at in rng.sample(range(150), rng.choice([1, 1, 2, 2])):
+            now[at] = f"y{rng.randrange(100_000)}"
+        texts.append(" ".join(now))
+    table = spark.createDataFrame(list(enumerate(texts)), "key long, text string").selectExpr("key", "cast(text as binary) text").cache()
+    sets = [grams(t) for t in texts]
+    near = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    want = classes_by_force(range(len(texts)), near)
+    asked, verified = [], near_copies._verified
+
+    def noted(texts, candidates, *rest):
+        asked.append(candidates.distinct().count())
+        return verified(texts, candidates, *rest)
+
+    monkeypatch.setattr(near_copies, "_verified", noted)
+    edges = near_copies.links(table).collect()
+    assert all(near(e.a, e.b) for e in edges)
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {n: got.get(n, n) for n in want} == want and len(set(want.values())) < 146 + 20
+    assert sum(asked) < 10 * len(texts), asked
