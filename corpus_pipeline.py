@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from geoloom.llm import exact_dedup, language, near_copies, packing, pii
 from geoloom.llm.queries import PII_KEY
-from geoloom.llm.storage import ship_code, stash
+from geoloom.llm.storage import release_heaps, ship_code, stash
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,6 +43,7 @@ def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences."""
     ship_code(spark)
+    release_heaps(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), size=2048, end_id=1)
 
 

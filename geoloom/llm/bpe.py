@@ -9,7 +9,8 @@ when their rank comes up. In the vocabulary no merge makes a pair of a lower ran
 this order gives every word what merging it alone would (checked when a file is loaded).
 
 A text is cut at spaces and line feeds, which no token spans, and the pieces are looked up
-in a cache of bounded bytes; only unknown pieces are normalised, split and encoded.
+in a cache of bounded size; only unknown pieces are normalised, split and encoded. Where ids
+alone are asked for, the cache is flat arrays, looked up for the pieces of a block at once.
 
 Defined results
 * null or empty text, or one of white space only: no ids, an empty decoded text.
@@ -36,7 +37,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from .storage import quoted
+from .storage import quoted, release_memory
 
 #: Bytes of pieces of text and their encodings that a worker remembers, in each of two
 #: generations, counting PIECE_BYTES for each piece beside its characters; pieces of more
@@ -44,6 +45,9 @@ from .storage import quoted
 CACHE_BYTES, PIECE_BYTES, LONG_PIECE = 24 << 20, 200, 64
 #: Bytes of text that are looked up at once.
 BLOCK_BYTES = 4 << 20
+#: Pieces, and bytes of them and their ids, of a generation of flat arrays; pieces that are
+#: encoded at once.
+FLAT_PIECES, FLAT_BYTES, FLAT_MADE = 1 << 18, 8 << 20, 1 << 16
 #: The words of the tokenizer's pre-tokenizer.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -58,7 +62,7 @@ def _byte_symbols() -> list[str]:
 
 def _lower(text: str) -> str:
     """Lower case of each character by itself (str.lower looks at the context of sigma)."""
-    return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
+    return text.replace("Σ", "σ").lower()
 
 
 class PairIndexEncoder:
@@ -82,6 +86,7 @@ class PairIndexEncoder:
         left, right, made = (np.array(x, np.int64) for x in zip(*((vocab[a], vocab[b], vocab[a + b]) for a, b in model["merges"]), strict=True))
         self.left, self.right, self.made = left.astype(np.int32), right.astype(np.int32), made.astype(np.int32)
         self.width = len(self.tokens)
+        self.rank_type = np.uint16 if len(made) <= 1 << 16 else np.int32  # 16 bits are sorted faster
         keys = left * self.width + right
         self.rank_of_sorted = np.argsort(keys, kind="stable").astype(np.int32)
         self.sorted_keys = keys[self.rank_of_sorted]
@@ -89,6 +94,8 @@ class PairIndexEncoder:
         born[made] = np.arange(len(made))
         if (np.maximum(born[left], born[right]) >= np.arange(len(made))).any() or len(set(made.tolist())) < len(made):
             raise ValueError("a merge makes a pair of a lower rank; the order by rank would not be exact")
+        #: ranks of two bytes one after the other, within a word and at its end
+        self.byte_ranks = np.concatenate([self._ranks(np.repeat(self.inner, 256), np.tile(x, 256)) for x in (self.inner, self.last)])
         self.words = regex.compile(PRETOKEN)
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.special_start = next(iter(self.special), "\0")[:2]
@@ -118,7 +125,7 @@ class PairIndexEncoder:
             at, ranks = at[ranks >= 0], ranks[ranks >= 0]
             if not len(at):
                 return
-            order = np.argsort(ranks, kind="stable")
+            order = np.argsort(ranks.astype(self.rank_type), kind="stable")
             at, ranks = at[order], ranks[order]
             cuts = np.flatnonzero(np.diff(ranks, prepend=-1))
             for r, i, j in zip(ranks[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(ranks)], strict=True):
@@ -129,8 +136,11 @@ class PairIndexEncoder:
                     heapq.heappush(active, r)
 
         active: list[int] = []
-        first = np.flatnonzero(after >= 0)
-        enter(first.astype(np.int32), self._ranks(sym[first], sym[first + 1]))
+        first = np.flatnonzero(after >= 0).astype(np.int32)
+        pair = raw[first].astype(np.int32) << 8 | raw[first + 1]
+        pair[after[first + 1] < 0] += 1 << 16
+        enter(first, self.byte_ranks[pair])
+        del first, pair
         while active:
             r = heapq.heappop(active)
             lists = index.pop(r)
@@ -161,9 +171,9 @@ class PairIndexEncoder:
         alive = sym >= 0
         return sym[alive], np.cumsum(alive)[ends - 1] if len(words) else ends
 
-    def split(self, piece: str) -> list[bytes | int]:
-        """A piece of text as UTF-8 words and ids of special tokens."""
-        out: list[bytes | int] = []
+    def split(self, piece: str) -> list[str | int]:
+        """A piece of text as words and ids of special tokens."""
+        out: list[str | int] = []
         parts = self.special_pattern.split(piece) if self.special_start in piece else [piece]
         for part in parts:
             if part in self.special:
@@ -172,18 +182,28 @@ class PairIndexEncoder:
             if not part.isascii():
                 part = unicodedata.normalize("NFC", part)
             part = _lower(part)
-            out += [part.encode()] if part.isalpha() else [w.encode() for w in self.words.findall(part)]
+            out += [part] if part.isalpha() else self.words.findall(part)
         return out
 
     def encode_pieces(self, pieces: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pieces one after the other, and where each piece's ids end."""
-        at: dict[bytes | int, int] = {}
+        """Ids of the pieces, which have no line feeds, one after the other, and where each
+        piece's ids end."""
+        at: dict[str | int, int] = {}
         order, counts = [], []
-        for piece in pieces:
-            parts = self.split(piece)
-            counts.append(len(parts))
-            order += [at.setdefault(w, len(at)) for w in parts]
-        words = [w if isinstance(w, bytes) else b"" for w in at]
+        pieces = list(pieces)
+        joined = "\n".join(pieces)
+        marked = {i for i, p in enumerate(pieces) if self.special_start in p} if self.special_start in joined else ()
+        if not joined.isascii():
+            joined = unicodedata.normalize("NFC", joined)
+        for i, part in enumerate(_lower(joined).split("\n") if pieces else ()):
+            if part.isalpha() and i not in marked:
+                counts.append(1)
+                order.append(at.setdefault(part, len(at)))
+            else:
+                parts = self.split(pieces[i]) if i in marked else self.words.findall(part)
+                counts.append(len(parts))
+                order += [at.setdefault(w, len(at)) for w in parts]
+        words = [w.encode() if isinstance(w, str) else b"" for w in at]
         encoded = [i for i, w in enumerate(words) if w]
         ids, word_ends = self.encode_words([words[i] for i in encoded])
         size = np.ones(len(words), np.int64)  # of a special token
@@ -196,8 +216,15 @@ class PairIndexEncoder:
         order_at = np.array(order, np.int64)
         sizes = size[order_at]
         word_stops = np.cumsum(sizes)
-        flat = ids[np.repeat(start[order_at] - word_stops + sizes, sizes) + np.arange(sizes.sum())]
-        return flat, np.concatenate(([0], word_stops))[np.cumsum(np.array(counts, np.int64))]
+        return gathered(ids, start[order_at], sizes), np.concatenate(([0], word_stops))[np.cumsum(np.array(counts, np.int64))]
+
+
+def gathered(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs of ``ids`` that begin at ``start``, one after the other."""
+    stops = np.cumsum(size)
+    at = np.repeat(start - stops + size, size)
+    at += np.arange(len(at), dtype=at.dtype)
+    return ids[at]
 
 
 _encoders: dict[str, PairIndexEncoder] = {}
@@ -252,6 +279,104 @@ class PieceCache:
         return [known[p] if p in known else long[p] for p in self.pieces(text)] if long else list(map(known.__getitem__, self.pieces(text)))
 
 
+class _Generation:
+    """Pieces and their ids in flat arrays."""
+
+    def __init__(self, pieces: pa.Array, ids: np.ndarray, ends: np.ndarray):
+        self.pieces, self.ids, self.size = pieces, ids, np.diff(ends, prepend=0).astype(np.int32)
+        self.start = (ends - self.size).astype(np.int64)
+
+    def __len__(self) -> int:
+        return len(self.pieces)
+
+    @property
+    def bytes(self) -> int:
+        return self.pieces.nbytes + self.ids.nbytes
+
+    def joined(self, other: _Generation) -> _Generation:
+        ends = np.concatenate((self.start + self.size, len(self.ids) + other.start + other.size))
+        return _Generation(pa.concat_arrays([self.pieces, other.pieces]), np.concatenate((self.ids, other.ids)), ends)
+
+
+class Block:
+    """The texts of a block as numbers of its distinct pieces: ``pieces`` (all texts' one after
+    the other), ``ends`` (of each text in ``pieces``), ``chars`` and ``size`` (tokens) of each."""
+
+    def __init__(self, pieces: np.ndarray, ends: np.ndarray, distinct: pa.Array, ids: np.ndarray, start: np.ndarray, size: np.ndarray):
+        self.pieces, self.ends, self.distinct, self._ids, self._start, self.size = pieces, ends, distinct, ids, start, size
+
+    @property
+    def chars(self) -> np.ndarray:
+        return pc.utf8_length(self.distinct).to_numpy()
+
+    def ids(self) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        start = 0
+        for stop in self.ends.tolist():
+            at = self.pieces[start:stop]
+            start = stop
+            yield gathered(self._ids, self._start[at], self.size[at])
+
+
+class FlatCache:
+    """Ids of the pieces of texts, looked up for a block at once. The pieces of the last blocks
+    are remembered as flat arrays, in two generations of FLAT_PIECES and FLAT_BYTES: one is
+    forgotten when the other is full. Pieces of more bytes than LONG_PIECE are not remembered."""
+
+    def __init__(self, path: str):
+        self.encoder = encoder(path)
+        self.kept = np.uint16 if self.encoder.width <= 1 << 16 else np.int32
+        self.known = self.older = self._made([])
+
+    def _made(self, pieces: list[str]) -> _Generation:
+        ids, ends = self.encoder.encode_pieces(pieces)
+        return _Generation(pa.array(pieces, pa.string()), ids.astype(self.kept), ends)
+
+    def block(self, texts: list[str]) -> Block:
+        parts = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+        coded = parts.flatten().dictionary_encode()
+        numbers, distinct, ends = coded.indices.to_numpy(), coded.dictionary, parts.offsets.to_numpy()[1:].astype(np.int64)
+        del parts, coded
+        # where the ids of each distinct piece are: in this generation, the older, or made now
+        found = [pc.index_in(distinct, value_set=g.pieces).fill_null(-1).to_numpy() for g in (self.known, self.older)]
+        source = np.where(found[0] >= 0, 0, np.where(found[1] >= 0, 1, 2))
+        lacking = distinct.filter(pa.array(source == 2))
+        made = self._made([])
+        for at in range(0, len(lacking), FLAT_MADE):
+            made = made.joined(self._made(lacking.slice(at, FLAT_MADE).to_pylist()))
+        found.append(np.cumsum(source == 2) - 1)
+        generations, start, size, base = (self.known, self.older, made), np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int32), 0
+        for k, g in enumerate(generations):
+            here = np.flatnonzero(source == k)
+            at = found[k][here]
+            start[here], size[here] = base + g.start[at], g.size[at]
+            base += len(g.ids)
+        out = Block(numbers, ends, distinct, np.concatenate([g.ids for g in generations]), start, size)
+        self._remember(distinct, source != 0, start, size, out._ids)
+        del found, lacking, made, generations
+        release_memory(cycles=False)
+        return out
+
+    def _remember(self, distinct: pa.Array, new: np.ndarray, start: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """Take the pieces that this generation has not yet."""
+        new = np.flatnonzero(new & (pc.binary_length(distinct).to_numpy() <= LONG_PIECE))
+        taken = _Generation(distinct.take(pa.array(new)), gathered(ids, start[new], size[new]), np.cumsum(size[new], dtype=np.int64))
+        if len(self.known) + len(taken) > FLAT_PIECES or self.known.bytes + taken.bytes > FLAT_BYTES:
+            self.known, self.older = taken, self.known
+        else:
+            self.known = self.known.joined(taken)
+
+
+_flat: dict[str, FlatCache] = {}
+
+
+def flat_cache(path: str) -> FlatCache:
+    """One per worker process and file; workers keep it between tasks."""
+    if path not in _flat:
+        _flat[path] = FlatCache(path)
+    return _flat[path]
+
+
 _caches: dict[tuple[str, str], PieceCache] = {}
 
 
@@ -295,10 +420,9 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """``doc_id, ids`` (array of int) for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = cache(path, id_bytes)
+        known = flat_cache(path)
         for part, texts in text_blocks(batches, 1):
-            known.learn(texts)
-            ids = [np.frombuffer(b"".join(known.of(t)), "<u4").astype(np.int32) for t in texts]
+            ids = [x.astype(np.int32) for x in known.block(texts).ids()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return _slim(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")

@@ -120,11 +120,10 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         packer = Packer(size, windows, task << TASK_BITS, keep_ids)
-        known = bpe.cache(path, bpe.id_bytes)
+        known = bpe.flat_cache(path)
         for part, texts in bpe.text_blocks(batches, 1):
-            known.learn(texts)
-            for doc, text in zip(part.column(0).to_pylist(), texts, strict=True):
-                ids = b"".join(known.of(text)) + end
+            for doc, found in zip(part.column(0).to_pylist(), known.block(texts).ids(), strict=True):
+                ids = found.astype("<u4").tobytes() + end
                 packer.add(doc, 0, ids, len(ids) // 4)
             yield packer.take()
         left = [(d, s, len(ids) // 4, None, total, None, None, ids, task) for key in sorted(packer.open) for d, s, ids, total in packer.open[key]]

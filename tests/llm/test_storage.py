@@ -18,3 +18,14 @@ def test_batches_of_a_write_are_small(spark):
     assert sum(found) > 20_000_000 and max(found) < 6 << 20
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
     storage.discard(spark, path)
+
+
+def test_heaps_are_collected(spark):
+    """The JVMs that run tasks, here the driver's, collect their garbage."""
+
+    def collections():
+        return sum(b.getCollectionCount() for b in spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans() if "Concurrent" not in b.getName())
+
+    before = collections()
+    storage.release_heaps(spark)
+    assert collections() >= before + spark.sparkContext.defaultParallelism

@@ -44,6 +44,28 @@ def test_cache_forgets(library, monkeypatch):
         assert len(known.known) <= 3 + len(t) and long not in known.known and long not in known.older
 
 
+def test_flat_cache(library, monkeypatch):
+    monkeypatch.setattr(bpe, "FLAT_PIECES", 40)
+    monkeypatch.setattr(bpe, "FLAT_MADE", 7)
+    rng = random.Random(5)
+    parts = [*"aAéßΣσςİ'st\u0301\x1c\x85\xa0\t\n 0²Ⅷ.!😀日<", " ", "<|endoftext|>", "<|x", "'ve", "aaaaaaa", "hello", "日本語" * 40]
+    known = bpe.FlatCache(PATH)
+    for n in (0, 1, 9, 9, 30, 30, 2, 60):
+        texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(n)]
+        got = list(known.block(texts).ids())
+        assert [x.tolist() for x in got] == [ids(library, t) for t in texts]
+        # the pieces of the last block at most go beyond the bound
+        assert len(known.known) <= max(40, len({p for t in texts for p in bpe.PieceCache.pieces(t)}))
+        assert not any(len(p.as_py().encode()) > bpe.LONG_PIECE for g in (known.known, known.older) for p in g.pieces)
+
+
+def test_flat_cache_is_small():
+    """A remembered piece takes few bytes beside its own; as Python objects it took PIECE_BYTES."""
+    known = bpe.FlatCache(PATH)
+    known.block([" ".join(f"w{i}" for i in range(50_000))])
+    assert len(known.known) == 50_000 and (known.known.bytes + known.known.start.nbytes + known.known.size.nbytes) / 50_000 < bpe.PIECE_BYTES / 4
+
+
 def test_round_trip(docs, none, library):
     texts = {i: t for i, t, *_ in ROWS}
     encoded = bpe.encode(docs, PATH)
