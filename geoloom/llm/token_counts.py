@@ -23,9 +23,9 @@ Defined results
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -159,6 +159,27 @@ def _counter(path: str) -> tuple[bpe.PieceCache, Callable[[str], int]]:
     return known, lambda text: sum(known.of(text))
 
 
+def leaf_sums(block: bpe.Block, texts: list[str], known: bpe.PieceCache) -> tuple[list, list]:
+    """The characters and the tokens of the segments of each text. Segments that are whole pieces
+    are sums over the pieces of the block; a text with longer pieces is cut as a string."""
+    chars, tokens, start = block.chars[block.pieces], block.size[block.pieces], 0
+    all_chars, all_tokens = [], []
+    for text, stop in zip(texts, block.ends.tolist(), strict=True):
+        own, of = chars[start:stop] + 1, tokens[start:stop]  # a piece has the blank behind it
+        own[-1] -= 1
+        start = stop
+        if own.max() > LONG_PIECE:
+            leaves = segments(text)
+            known.learn(leaves)
+            all_chars.append(list(map(len, leaves)))
+            all_tokens.append([sum(known.of(x)) for x in leaves])
+            continue
+        cuts = np.arange(0, len(own) - (own[-1] == 0), SEGMENT_PIECES)  # nothing follows a last blank
+        all_chars.append(np.add.reduceat(own, cuts) if len(cuts) else [])
+        all_tokens.append(np.add.reduceat(of, cuts) if len(cuts) else [])
+    return all_chars, all_tokens
+
+
 def tree_names(columns: list[str]) -> tuple[str, str]:
     """The names that ``build`` gives the leaves' characters and tokens beside ``columns``."""
     return spare(columns, "leaf_chars"), spare(columns, "leaf_tokens")
@@ -170,12 +191,11 @@ def build(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     names = [*docs.columns, *tree]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, count = _counter(path)
+        known, flat = bpe.cache(path, bpe.id_counts), bpe.flat_cache(path)
         for part, texts in bpe.text_blocks(batches, at):
-            leaves = [segments(t) if t else [] for t in texts]
-            known.learn(itertools.chain.from_iterable(leaves))
+            found = leaf_sums(flat.block(texts), texts, known)
             columns = [part.column(i) for i in range(at)]
-            columns += [pa.array([list(map(len, x)) for x in leaves], pa.list_(pa.int32())), pa.array([list(map(count, x)) for x in leaves], pa.list_(pa.int32()))]
+            columns += [pa.array(x, pa.list_(pa.int32())) for x in found]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     quote = lambda n: "`" + n.replace("`", "``") + "`"

@@ -160,6 +160,17 @@ def test_texts_without_blanks_have_segments():
         assert "".join(leaves) == text and len(leaves) > len(text) / 600 and max(map(len, leaves)) < 2 * token_counts.LONG_PIECE
 
 
+def test_leaf_sums(library):
+    """The sums of a block's pieces are those of the segments encoded one by one."""
+    rng = random.Random(6)
+    texts = ["", " ", "\n", "a", "a ", " a", "x " * 16, "x " * 15 + "x", "x " * 33, "日本語" * 200 + " a", "a" * 256 + " b", "ab," * 120 + " b", "\n" * 50]
+    texts += ["".join(rng.choices(["a", " ", "\n", "b c", "<|endoftext|>", "日本。", "x" * 200], k=rng.randint(0, 60))) for _ in range(60)]
+    chars, tokens = token_counts.leaf_sums(bpe.FlatCache(PATH).block(texts), texts, bpe.PieceCache(PATH, bpe.id_counts))
+    for t, c, n in zip(texts, chars, tokens, strict=True):
+        leaves = token_counts.segments(t) if t else []
+        assert (list(c), list(n)) == (list(map(len, leaves)), [len(ids(library, x)) for x in leaves])
+
+
 def test_batches_follow_each_other(spark, library):
     """Edited texts and trees go into the next batch of edits; clashing names keep their columns."""
     rng = random.Random(7)
