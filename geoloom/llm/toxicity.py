@@ -8,7 +8,8 @@ at the floor; they can match nothing and count in a text's length only.
 
 The examples are indexed by an inverted index in blocks: for each word and block the largest
 weight is kept, so that a query bounds every block, visits blocks in order of their bounds,
-and stops where no block can change its k nearest examples. The search is exact. Votes are
+and stops where no block can change its k nearest examples. Words of many examples are rows of
+all examples instead, whose sums are complete before the bounds. The search is exact. Votes are
 weighted by squared similarity and by how many labelled rows of its class an example stands
 for. Examples of a text's own content (equal words and counts) have no vote, so that a score
 is never the memory of a label and the examples' own votes can calibrate scores: an isotonic
@@ -28,10 +29,11 @@ Defined results
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,6 +46,9 @@ from .storage import discard, quoted, stash
 
 #: The bound on labelled rows of each class that become examples.
 EXAMPLES = 4000
+#: A word of more than one in FREQUENT examples has a row of them all, in FREQUENT_BYTES at most;
+#: searches whose sums over these rows are made at once.
+FREQUENT, FREQUENT_BYTES, BATCH = 24, 32 << 20, 32
 #: What a word weighs that tells nothing, beside the share of the labels' entropy.
 FLOOR = 0.001
 #: Neighbours that vote, examples of a block, blocks of the first wave.
@@ -55,12 +60,19 @@ SAME = 1 - 1e-9
 #: Rows of documents that are put out at once.
 ROWS = 1024
 
-_WORDS, _ASCII_WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*"), re.compile("[a-z]+")
+_WORDS, _ASCII_WORDS, _LATIN_WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*"), re.compile("[a-z]+"), re.compile("[a-zªµºß-öø-ÿ]+")
 
 
 def text_words(text: str) -> Counter:
     """How often each lower-case word occurs."""
-    return Counter((_ASCII_WORDS if text.isascii() else _WORDS).findall(text.lower()))
+    text = text.lower()
+    if text.isascii():
+        return Counter(_ASCII_WORDS.findall(text))
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return Counter(_WORDS.findall(text))
+    return Counter(_LATIN_WORDS.findall(text))  # lower-case letters; there are no marks
 
 
 def explained(toxic: np.ndarray, clean: np.ndarray, all_toxic: int, all_clean: int) -> np.ndarray:
@@ -91,7 +103,19 @@ class BlockMaxIndex:
         weights = np.concatenate([vectors[i][1] for i in self.example] or [np.zeros(0)])
         places = np.repeat(np.arange(self.n), [len(vectors[i][0]) for i in self.example])
         order = np.lexsort((places, ids))
-        ids, self.places, self.weights = ids[order], places[order], weights[order]
+        ids, places, weights = ids[order], places[order], weights[order]
+        # words of many examples, the most frequent first, as rows
+        counts = np.bincount(ids, minlength=features)
+        common = np.flatnonzero(counts > self.n / FREQUENT)
+        common = common[np.argsort(-counts[common], kind="stable")][: FREQUENT_BYTES // (8 * max(1, self.n))]
+        self.row = np.full(features, -1)
+        self.row[common] = np.arange(len(common))
+        # the rows and BATCH are multiples of what products of matrices are made in, so that each
+        # sum is added up in one way, equal examples' sums too
+        self.rows = np.zeros((len(common), self.blocks * BLOCK))
+        row = self.row[ids]
+        self.rows[row[row >= 0], places[row >= 0]] = weights[row >= 0]
+        ids, self.places, self.weights = ids[row < 0], places[row < 0], weights[row < 0]
         # an entry for each word and block: where its postings are, and their largest weight
         cell = ids * self.blocks + self.places // BLOCK
         first = np.flatnonzero(np.diff(cell, prepend=-1))
@@ -112,13 +136,26 @@ class BlockMaxIndex:
         out += self.steps[:total]
         return out, np.repeat(weights, size)
 
-    def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, same: float = math.inf) -> list[tuple[float, int]]:
+    def frequent(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """For each of BATCH queries at most, the sums over the words that have rows, by place."""
+        of = np.zeros((BATCH, len(self.rows)))
+        for i, (ids, weights) in enumerate(queries):
+            row = self.row[ids]
+            of[i, row[row >= 0]] = weights[row >= 0]
+        return of @ self.rows
+
+    def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, same: float = math.inf, whole: np.ndarray | None = None) -> list[tuple[float, int]]:
         """The k examples of largest cosine above 0 and below ``same``, nearest first, ties by
         number. Blocks are visited in order of their bounds, in waves that grow fourfold, until no
         block is left whose bound reaches the k-th cosine so far."""
+        if whole is None:
+            whole = self.frequent([(ids, weights)])[0]
+        rare = self.row[ids] < 0
+        ids, weights = ids[rare], weights[rare]
         entry, weight = self._ranges(self.entries[ids], self.entries[ids + 1], weights)
         block = self.block.take(entry)
         bound = np.bincount(block, weight * self.largest.take(entry), minlength=self.blocks)
+        bound = bound + whole.reshape(self.blocks, BLOCK).max(axis=1)
         order = np.argsort(-bound, kind="stable")
         best: list[tuple[float, int]] = []  # (-cosine, example), sorted
         at, wave = 0, WAVE
@@ -135,7 +172,9 @@ class BlockMaxIndex:
             of = entry[take]
             posting, product = self._ranges(self.start[of], self.stop[of], weight[take])
             product *= self.weights.take(posting)
-            sums = np.bincount(self.places.take(posting), product, minlength=self.n)
+            sums = np.bincount(self.places.take(posting), product, minlength=len(whole))
+            sums = sums + whole
+            sums.reshape(self.blocks, BLOCK)[~chosen] = 0
             # what is further below the k-th than rounding can lift it is not looked at
             found = np.flatnonzero(sums >= least if len(best) == k else sums > 0)
             sums = np.round(sums[found], 12)
@@ -193,9 +232,25 @@ class Scorer:
         weights = (1 + np.log(counts)) * self.model.word_weight[ids]
         return weights / math.sqrt(float((weights**2).sum()) + unknown * self.model.unknown_weight**2)
 
+    def _batches(self, rows: Iterable[tuple[np.ndarray, np.ndarray, float]]) -> Iterator[tuple[np.ndarray, float, np.ndarray, np.ndarray]]:
+        """Ids, ``unknown``, unit weights, and sums over the frequent words, of each row."""
+        rows = iter(rows)
+        while group := list(itertools.islice(rows, BATCH)):
+            units = [self.unit(*x) if len(x[0]) else np.zeros(0) for x in group]
+            for (ids, _, unknown), unit, whole in zip(group, units, self.index.frequent([(x[0], u) for x, u in zip(group, units, strict=True)]), strict=False):
+                yield ids, unknown, unit, whole
+
     def vote(self, ids: np.ndarray, counts: np.ndarray, unknown: float = 0.0) -> tuple[float | None, list[int]]:
         """The vote of the nearest examples (None without any), and their doc_ids."""
-        near = self.index.nearest(ids, self.unit(ids, counts, unknown), same=SAME) if len(ids) else []
+        return next(self.votes([(ids, counts, unknown)]))
+
+    def votes(self, rows: Iterable[tuple[np.ndarray, np.ndarray, float]]) -> Iterator[tuple[float | None, list[int]]]:
+        """``vote`` of each of ``rows``."""
+        for ids, _, unit, whole in self._batches(rows):
+            yield self._vote(ids, unit, whole)
+
+    def _vote(self, ids: np.ndarray, unit: np.ndarray, whole: np.ndarray) -> tuple[float | None, list[int]]:
+        near = self.index.nearest(ids, unit, same=SAME, whole=whole) if len(ids) else []
         if not near:
             return None, []
         cosine, at = np.array([c for c, _ in near]), self.full[[j for _, j in near]]
@@ -205,10 +260,16 @@ class Scorer:
 
     def score(self, ids: np.ndarray, counts: np.ndarray, unknown: float = 0.0) -> tuple[float, list[int]]:
         """The score, and the doc_ids of the nearest examples."""
-        if not len(ids) and not unknown:
-            return self.bare, []
-        vote, evidence = self.vote(ids, counts, unknown)
-        return self.base if vote is None else float(np.interp(vote, *self.model.curve)), evidence
+        return next(self.scores([(ids, counts, unknown)]))
+
+    def scores(self, rows: Iterable[tuple[np.ndarray, np.ndarray, float]]) -> Iterator[tuple[float, list[int]]]:
+        """``score`` of each of ``rows``."""
+        for ids, unknown, unit, whole in self._batches(rows):
+            if not len(ids) and not unknown:
+                yield self.bare, []
+                continue
+            vote, evidence = self._vote(ids, unit, whole)
+            yield self.base if vote is None else float(np.interp(vote, *self.model.curve)), evidence
 
 
 def held_out(doc_id) -> F.Column:
@@ -328,7 +389,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, examples:
         scorer = None
         for batch in batches:
             scorer = scorer or first.value.build()
-            made = [scorer.vote(*first.value.words[i])[0] for i in batch.column(0).to_pylist()]
+            made = [v for v, _ in scorer.votes((*first.value.words[i], 0.0) for i in batch.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.float64())], ["i", "vote"])
 
     tasks = spark.sparkContext.defaultParallelism
@@ -344,7 +405,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, examples:
         scorer = None
         for batch in batches:
             scorer = scorer or shared.value.build()
-            made = [scorer.score(i, c, u) for (i, c), u in zip(_rows(batch, 1, 2), batch.column(3).to_pylist(), strict=True)]
+            made = list(scorer.scores((i, c, u) for (i, c), u in zip(_rows(batch, 1, 2), batch.column(3).to_pylist(), strict=True)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s for s, _ in made], pa.float64()), pa.array([e for _, e in made], pa.list_(pa.int64()))], ["doc_id", "score", "evidence"])
 
     scored = found.mapInArrow(run, "doc_id long, score double, evidence array<bigint>")

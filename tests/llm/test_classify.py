@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -176,6 +177,33 @@ def test_block_max_index_is_exact():
     assert toxicity.BlockMaxIndex([], 3).nearest(np.array([1]), np.array([1.0])) == []
 
 
+def test_frequent_words_have_rows():
+    """Words of many examples are summed as rows, for many searches at once, with the same results;
+    equal examples tie, the smaller number first."""
+    rng = np.random.default_rng(3)
+    vectors = []
+    for i in range(300):
+        ids = np.unique(np.concatenate([rng.integers(0, 12, 8), rng.integers(12, 400, 9)]))
+        w = rng.random(len(ids))
+        vectors.append(vectors[i - 150] if i % 3 == 0 and i >= 150 else (ids, w / np.sqrt((w**2).sum())))
+    index = toxicity.BlockMaxIndex(vectors, 400)
+    assert 12 <= len(index.rows) < 40 and 0 < len(index.places) < sum(len(v[0]) for v in vectors) / 1.5
+    queries = [vectors[i] for i in rng.integers(0, 300, 20)]
+    together = index.frequent(queries)
+    for (ids, w), whole in zip(queries, together, strict=False):
+        dense = np.zeros(400)
+        dense[ids] = w
+        want = sorted((-round(float((dense[i] * x).sum()), 12), n) for n, (i, x) in enumerate(vectors))[:15]
+        for found in (index.nearest(ids, w), index.nearest(ids, w, whole=whole)):
+            assert [n for _, n in found] == [n for _, n in want] and np.allclose([c for c, _ in found], [-c for c, _ in want], atol=1e-11)
+
+
+def test_words_of_latin_texts():
+    """Texts of Latin-1 give the words that the general pattern finds."""
+    every = "".join(f"{chr(i)}a{chr(i)}{chr(i)} B{chr(i)}" for i in range(256)) + "déjà vu, ÀÉß²x ªb"
+    assert toxicity.text_words(every) == Counter(toxicity._WORDS.findall(every.lower()))
+
+
 def test_search_looks_at_few_sums():
     """Postings need no conversion, and only sums near the k-th best are rounded and ranked."""
     rng = np.random.default_rng(8)
