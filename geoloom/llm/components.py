@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import discard, stash
+from .storage import discard, few_files, stash
 
 MAX_ROUNDS = 60
 
@@ -29,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
     smallest node it reaches. Nulls link with nothing. No edges: an empty table."""
     a, b = (F.col(c) for c in edges.columns)
     spark = edges.sparkSession
-    now, path = stash(edges.filter(a != b).select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "edges")
+    now, path = stash(edges.filter(a != b).select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "edges", files := few_files(spark))
     mark = _mark(now)
     for _ in range(MAX_ROUNDS):
         if not mark[0]:
@@ -41,7 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
         # small star: whatever is below a node, and the node, move to its least neighbour
         below = lifted.groupBy("hi").agg(F.min("lo").alias("root"))
         moved = lifted.join(below, "hi").filter("lo <> root").select(F.col("lo").alias("hi"), F.col("root").alias("lo"))
-        after, new_path = stash(moved.union(below.select("hi", F.col("root").alias("lo"))).distinct(), "edges")
+        after, new_path = stash(moved.union(below.select("hi", F.col("root").alias("lo"))).distinct(), "edges", files)
         new_mark = _mark(after)
         discard(spark, path)
         now, path, same, mark = after, new_path, new_mark == mark, new_mark

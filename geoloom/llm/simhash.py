@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import discard, quoted, release_memory, stash, with_row_key
+from .storage import discard, few_files, quoted, release_heaps, release_memory, stash, with_row_key
 
 SEED = 42
 BITS = 64
@@ -120,10 +120,10 @@ def links(distinct_fps: DataFrame, max_distance: int = 2, segments: int = 2, hot
     radii = segment_radii(max_distance, segments)
     table = _filed(distinct_fps, [ball(0, 0, min(0, r)) for r in radii], width)
     probes = _filed(distinct_fps, [ball(s * width, width, r) for s, r in enumerate(radii)], width)
-    crowded, path = stash(table.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot).select("segment", "value"), "hot-values")
+    crowded, path = stash(table.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot).select("segment", "value"), "hot-values", files := few_files(distinct_fps.sparkSession))
     again = None
     if not crowded.isEmpty():
-        again, _ = stash(probes.join(crowded, ["segment", "value"], "left_semi").select("fp").distinct(), "fingerprints-at-hot-values")
+        again, _ = stash(probes.join(crowded, ["segment", "value"], "left_semi").select("fp").distinct(), "fingerprints-at-hot-values", files)
         table = table.join(crowded, ["segment", "value"], "left_anti")
     met = probes.withColumnRenamed("fp", "a").join(table.withColumnRenamed("fp", "b"), ["segment", "value"])
     # either of a pair reaches the other, so that one direction is enough
@@ -137,11 +137,11 @@ def links(distinct_fps: DataFrame, max_distance: int = 2, segments: int = 2, hot
 def classes(fps: DataFrame, max_distance: int = 2, segments: int = 2) -> DataFrame:
     """``doc_id, fp, component_id`` for rows of ``doc_id, fp``: the smallest doc_id that is
     reachable over links between fingerprints. ``fps`` should be stored, it is read twice."""
-    least, path = stash(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    least, path = stash(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints", files := few_files(fps.sparkSession))
     roots = components(links(least.select("fp"), max_distance, segments))
     rooted = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named, _ = stash(rooted.join(lowest, "root").select("fp", "component_id"), "fingerprint-classes")
+    named, _ = stash(rooted.join(lowest, "root").select("fp", "component_id"), "fingerprint-classes", files)
     discard(fps.sparkSession, path)
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
@@ -149,7 +149,10 @@ def classes(fps: DataFrame, max_distance: int = 2, segments: int = 2) -> DataFra
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, max_distance: int = 2) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
     fps, _ = stash(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    return classes(fps, max_distance).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    release_heaps(docs.sparkSession)  # texts and, below, probes have grown them, of which nothing is left
+    named = classes(fps, max_distance)
+    release_heaps(docs.sparkSession)
+    return named.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, max_distance: int = 2) -> DataFrame:

@@ -1,4 +1,4 @@
-from geoloom.llm import storage
+from geoloom.llm import simhash, storage
 from pyspark.sql import functions as F
 
 
@@ -29,3 +29,37 @@ def test_heaps_are_collected(spark):
     before = collections()
     storage.release_heaps(spark)
     assert collections() >= before + spark.sparkContext.defaultParallelism
+
+
+def started(spark, folder, work):
+    """The commands of the processes that the JVM, which runs tasks here, starts during ``work``."""
+    jvm, file = spark._jvm, str(folder / "starts.jfr")
+    record = jvm.jdk.jfr.Recording()
+    record.enable("jdk.ProcessStart")
+    record.start()
+    try:
+        work()
+        record.stop()
+        record.dump(jvm.java.io.File(file).toPath())
+    finally:
+        record.close()
+    return [e.getString("command") for e in jvm.jdk.jfr.consumer.RecordingFile.readAllEvents(jvm.java.io.File(file).toPath())]
+
+
+def test_small_tables_start_few_processes(spark, tmp_path):
+    """The tables between the rounds of SimHash are small, however many tasks make them: a
+    process for each of their files would be some thousands on 200 partitions."""
+    texts = [(i, " ".join(f"w{1000 * (i % 80) + j}" for j in range(40))) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    conf = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, got = {k: spark.conf.get(k) for k in conf}, []
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        starts = started(spark, tmp_path, lambda: got.extend(simhash.near_duplicates(docs).collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.doc_id: r.component_id for r in got} == {i: i % 80 for i in range(400)}
+    assert len(starts) < 120, len(starts)
+    assert not [c for c in starts if c.endswith(".crc")]
