@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from . import simhash
 from .components import components
 from .simhash import SEED
-from .storage import discard, quoted, release_memory, stash, with_row_key
+from .storage import discard, quoted, release_driver, release_memory, stash, with_row_key
 
 #: Documents of the sample that orders shingles, the least documents of it that make a
 #: shingle frequent, and the bound on the list of frequent shingles.
@@ -254,12 +254,14 @@ def links(texts: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
     candidates, fingerprint_paths = by_fingerprint(texts)
     hashed = _verified(texts, candidates, words, per_cent)
     discard(spark, *fingerprint_paths)
+    release_driver(spark)  # here and below: each part is some dozens of jobs
     known, known_path = stash(components(hashed), "components-by-fingerprint")
     filed = prefixes(texts, words, per_cent).withColumn("lead", F.min(F.struct("key", "n", "past")).over(by_token)).withColumn("last", F.max("key").over(by_token))
     shared, shared_path = stash(filed.filter("lead.key <> last").select("token", "key", "n", "past", F.col("lead.key").alias("lead"), F.col("lead.n").alias("lead_n"), F.col("lead.past").alias("lead_past")), "shared-prefixes")
     rest = shared.filter("key <> lead")
     led = rest.filter(_may_reach(F.col("n"), F.col("past"), F.col("lead_n"), F.col("lead_past"), per_cent)).select(F.col("lead").alias("a"), F.col("key").alias("b"))
     stars = hashed.unionByName(_verified(texts, _across(led, known), words, per_cent))
+    release_driver(spark)
     # pairs with the least document of a shingle are settled; of the others, those across components
     mixed, mixed_path = stash(_mixed(rest.select("token", "key", "n", "past"), components(stars)), "mixed-prefixes")
     signs, signs_path = _of_keys(texts, mixed.select(F.col("key").alias("a"), F.col("key").alias("b")), lambda own: short_sketch(own) + least_values(own), "array<bigint>", words, "short-sketches")
@@ -267,6 +269,7 @@ def links(texts: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
     drawn, drawn_path = stash(mixed.join(signs.select("key", *named), "key"), "sketched-prefixes")
     documents = signs.count()
     discard(spark, shared_path, mixed_path, signs_path)
+    release_driver(spark)
     for seed in range(ROUNDS):
         group = ["token", f"least{seed}"]
         own = drawn.drop(*[f"least{i}" for i in range(ROUNDS) if i != seed])
@@ -279,18 +282,21 @@ def links(texts: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
         stars, old_path = stars.unionByName(found), drawn_path
         drawn, drawn_path = stash(_mixed(drawn.drop("root"), components(stars)), "sketched-prefixes")
         discard(spark, old_path)
+        release_driver(spark)
         if linked < PROGRESS * documents:
             break
     drawn = drawn.drop(*[f"least{i}" for i in range(ROUNDS)])
     across = _similar(drawn, drawn, per_cent, ["token"]).filter((F.col("key_a") < F.col("key_b")) & _may_reach(F.col("n_a"), F.col("past_a"), F.col("n_b"), F.col("past_b"), per_cent))
     out = stars.unionByName(_verified(texts, across.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")), words, per_cent))
     discard(spark, known_path, drawn_path)
+    release_driver(spark)
     return out
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, per_cent: int = 80) -> DataFrame:
     """The rows of ``docs`` of which, in each component of near-copies, the row with the
     smallest id stays (of rows without id or with equal ids, the first stored)."""
+    release_driver(docs.sparkSession)
     table, key = with_row_key(docs, "keyed-documents")
     roots, roots_path = stash(components(links(_texts(table, key, text_col), words, per_cent)).toDF("key", "class"), "near-copies")
     order = F.struct(quoted(id_col).isNull().alias("none"), quoted(id_col).cast("long").alias("id"), F.col(key).alias("key"))

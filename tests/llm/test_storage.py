@@ -1,3 +1,8 @@
+import gc
+import re
+import time
+from pathlib import Path
+
 from geoloom.llm import simhash, storage
 from pyspark.sql import functions as F
 
@@ -63,3 +68,24 @@ def test_small_tables_start_few_processes(spark, tmp_path):
     assert {r.doc_id: r.component_id for r in got} == {i: i % 80 for i in range(400)}
     assert len(starts) < 120, len(starts)
     assert not [c for c in starts if c.endswith(".crc")]
+
+
+def test_the_driver_gives_back_what_is_freed(spark):
+    """What has been freed in the driver's JVM does not stay with its C library: compilers leave
+    such blocks, here some buffers do."""
+    jvm = spark._jvm
+    pid = jvm.java.lang.ProcessHandle.current().pid()
+
+    def held():
+        return int(re.search(r"\nAnonymous:\s+(\d+)", Path(f"/proc/{pid}/smaps_rollup").read_text())[1]) / 1024
+
+    made = [jvm.java.nio.ByteBuffer.allocateDirect(60_000) for _ in range(3000)]
+    kept = made[::50]  # so that the library's own trimming finds little at the end of an arena
+    del made
+    gc.collect()
+    for _ in range(2):
+        jvm.System.gc()
+        time.sleep(1)
+    before = held()
+    storage.release_driver(spark)
+    assert held() < before - 60 and len(kept) == 60
