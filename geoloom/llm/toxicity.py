@@ -9,7 +9,8 @@ at the floor; they can match nothing and count in a text's length only.
 The examples are indexed by an inverted index in blocks: for each word and block the largest
 weight is kept, so that a query bounds every block, visits blocks in order of their bounds,
 and stops where no block can change its k nearest examples. Words of many examples are rows of
-all examples instead, whose sums are complete before the bounds. The search is exact. Votes are
+all examples instead, and words whose blocks hold hardly more than one example of them have postings
+only; the sums of both are complete before the bounds. The search is exact. Votes are
 weighted by squared similarity and by how many labelled rows of its class an example stands
 for. Examples of a text's own content (equal words and counts) have no vote, so that a score
 is never the memory of a label and the examples' own votes can calibrate scores: an isotonic
@@ -49,6 +50,8 @@ EXAMPLES = 4000
 #: A word of more than one in FREQUENT examples has a row of them all, in FREQUENT_BYTES at most;
 #: searches whose sums over these rows are made at once.
 FREQUENT, FREQUENT_BYTES, BATCH = 24, 32 << 20, 32
+#: A word with fewer postings than this to a block that has it is summed before the bounds.
+SCATTERED = 4
 #: What a word weighs that tells nothing, beside the share of the labels' entropy.
 FLOOR = 0.001
 #: Neighbours that vote, examples of a block, blocks of the first wave.
@@ -116,6 +119,8 @@ class BlockMaxIndex:
         row = self.row[ids]
         self.rows[row[row >= 0], places[row >= 0]] = weights[row >= 0]
         ids, self.places, self.weights = ids[row < 0], places[row < 0], weights[row < 0]
+        # where each word's postings are
+        self.postings = np.searchsorted(ids, np.arange(features + 1))
         # an entry for each word and block: where its postings are, and their largest weight
         cell = ids * self.blocks + self.places // BLOCK
         first = np.flatnonzero(np.diff(cell, prepend=-1))
@@ -123,6 +128,8 @@ class BlockMaxIndex:
         self.block = cell[first] % self.blocks
         self.largest = np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0)
         self.entries = np.searchsorted(ids[first], np.arange(features + 1))
+        # words with hardly more postings than entries, whose bounds cost as much as their sums
+        self.scattered = np.diff(self.postings) < SCATTERED * np.diff(self.entries)
         self.steps = np.arange(1)
 
     def _ranges(self, low: np.ndarray, high: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,6 +159,12 @@ class BlockMaxIndex:
             whole = self.frequent([(ids, weights)])[0]
         rare = self.row[ids] < 0
         ids, weights = ids[rare], weights[rare]
+        scattered = self.scattered[ids]
+        few = ids[scattered]
+        posting, product = self._ranges(self.postings[few], self.postings[few + 1], weights[scattered])
+        product *= self.weights.take(posting)
+        whole = whole + np.bincount(self.places.take(posting), product, minlength=len(whole))
+        ids, weights = ids[~scattered], weights[~scattered]
         entry, weight = self._ranges(self.entries[ids], self.entries[ids + 1], weights)
         block = self.block.take(entry)
         bound = np.bincount(block, weight * self.largest.take(entry), minlength=self.blocks)

@@ -327,3 +327,27 @@ def test_toxicity(spark):
     assert blind == {r.doc_id: r.score for r in got}
     assert {r.score for r in toxicity.score(docs, marks.limit(0)).collect()} == {0.0}
     assert toxicity.score(docs.limit(0), marks).count() == 0
+
+
+def test_scattered_words_need_no_bounds():
+    """Words of few examples, each in a block of its own, are summed before the bounds, which
+    they would cost as much as their sums; the search stays exact."""
+    rng = np.random.default_rng(7)
+    vectors = []
+    for i in range(400):
+        ids = np.unique(np.concatenate([[i % 40], 40 + rng.choice(1000, 6, replace=False)]))
+        weights = rng.random(len(ids)) + 0.1
+        vectors.append((ids, weights / np.linalg.norm(weights)))
+    index = toxicity.BlockMaxIndex(vectors, 1040)
+    dense = np.zeros((400, 1040))
+    for i, (ids, weights) in enumerate(vectors):
+        dense[i, ids] = weights
+    counts = np.bincount(np.concatenate([ids for ids, _ in vectors]), minlength=1040)
+    few = (counts > 0) & (counts < 4)
+    assert few.sum() > 500 and index.scattered[few].all() and not index.scattered.all()
+    for ids, weights in vectors[::7]:
+        got = index.nearest(ids, weights, 10)
+        cosines = np.round(dense @ dense[[i for i, v in enumerate(vectors) if v[0] is ids][0]], 12)
+        expected = sorted(((-c, i) for i, c in enumerate(cosines.tolist()) if c > 0))[:10]
+        assert [i for _, i in got] == [i for _, i in expected]
+        assert np.allclose([c for c, _ in got], [-c for c, _ in expected])
